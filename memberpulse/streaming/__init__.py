@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference has no streaming work — no watermark, event-time window, state
+or late-data logic; its three jobs are scheduled batches over whole tables.
+Every operator here is a batch ``DataFrame -> DataFrame`` function.
+"""
