@@ -10,11 +10,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from memberpulse import schemas
+from memberpulse.operators import audience as aud
 from memberpulse.operators import engagement as eng
 from memberpulse.operators import membership as mem
+from memberpulse.operators import newsletters as nl
+from memberpulse.operators import registry as reg
+from memberpulse.operators import upkeep as up
 from memberpulse.plans import oracle as sql
+from memberpulse.session import shared_dir
 from memberpulse.sources import fixtures as fx
+from memberpulse.sources import readers as rd
+from memberpulse.sources import sinks as sk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +68,151 @@ def _service(grain: str) -> Query:
     return run
 
 
+def member_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aud.member_stats(fx.members(spark, sf_dir), fx.AS_OF, fx.TZ)
+
+
+def subscriber_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aud.subscriber_stats(fx.members(spark, sf_dir), fx.AS_OF, fx.TZ)
+
+
+def _weekly_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nl.weekly_newsletters(fx.newsletters(spark, sf_dir), fx.AS_OF, fx.TZ)
+
+
+def weekly_newsletters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _weekly_posts(spark, sf_dir).select(
+        "title", "status", "published_at", "email_segment",
+        F.col("email.email_count").alias("email_count"),
+        F.col("email.opened_count").alias("opened_count"),
+        F.col("email.delivered_count").alias("delivered_count"),
+        F.col("count.clicks").alias("clicks"))
+
+
+def newsletter_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nl.newsletter_stats(_weekly_posts(spark, sf_dir), fx.TZ)
+
+
+def inactive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return up.inactive_members(fx.members(spark, sf_dir)).select(
+        "id", "email", "subscribed", F.col("email_suppression.suppressed").alias("suppressed"),
+        "email_count", "email_open_rate")
+
+
+def _deleted_ids(members: DataFrame) -> DataFrame:
+    """Outcome table: candidates whose deletion was confirmed (even member numbers)."""
+    return up.inactive_members(members).where(fx.member_number() % 2 == 0).select("id")
+
+
+def member_capacity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    members = fx.members(spark, sf_dir)
+    return up.capacity(members, _deleted_ids(members), 2 * F.col("total"))
+
+
+def _invites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return up.invite_batch(fx.registry(spark, sf_dir), fx.INVITE_BATCH, fx.SEED)
+
+
+def invite_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _invites(spark, sf_dir).select(
+        "email", F.col("labels")[0]["name"].alias("label_name"),
+        F.col("labels")[0]["slug"].alias("label_slug"), "note")
+
+
+def registry_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reg.registry_diff(fx.members(spark, sf_dir), fx.registry(spark, sf_dir))[0]
+
+
+def registry_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reg.registry_diff(fx.members(spark, sf_dir), fx.registry(spark, sf_dir))[1]
+
+
+def registry_mark_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    failed = _invites(spark, sf_dir).where(F.md5(F.col("email")).startswith("0")).select("email")
+    return reg.set_status(fx.registry(spark, sf_dir), failed, reg.FAILED, fx.NOW)
+
+
+def registry_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    registry = fx.registry(spark, sf_dir)
+    new, _ = reg.registry_diff(fx.members(spark, sf_dir), registry)
+    return reg.upsert(registry, new, fx.NOW)
+
+
+def registry_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reg.sync(fx.registry(spark, sf_dir), fx.members(spark, sf_dir), fx.NOW)
+
+
+def _member_pages(members: DataFrame) -> DataFrame:
+    """Members packed in pages of at most MEMBER_PAGE_SIZE (ids are unique per customer)."""
+    return members.withColumn("page", F.floor(fx.member_number() / fx.MEMBER_PAGE_SIZE))
+
+
+def json_param_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    members = _member_pages(fx.members(spark, sf_dir))
+    records = members.select("page", "email", F.get(F.col("labels"), 0)["name"].alias("label"), "note")
+    return rd.unnest_json_records(rd.to_json_pages(records, "page"))
+
+
+def _flat_members(df: DataFrame) -> DataFrame:
+    return df.select(
+        "id", "email",
+        F.array_join(F.transform("labels", lambda x: x["name"]), ",").alias("label_names"),
+        "note", "subscribed", F.col("email_suppression.suppressed").alias("suppressed"),
+        "email_count", "email_open_rate", "created_at", "last_seen_at")
+
+
+def report_overwrite_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK1: overwrite the weekly report twice (idempotent), read it back."""
+    path = f"{shared_dir(spark)}/weekly_report"
+    report = _report(mem.WEEK)(spark, sf_dir)
+    sk.overwrite_report(report, path)
+    sk.overwrite_report(report, path)
+    return spark.read.parquet(path)
+
+
+MEMBER_STATS_SCHEMA = "date date, total bigint, active bigint, subscriber bigint, " \
+    "engagement_rate double, subscription_rate double, lang_code string"
+
+
+def kpi_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK2: two run dates into date partitions; re-running one leaves the other intact."""
+    path = f"{shared_dir(spark)}/member_statistics"
+    members = fx.members(spark, sf_dir)
+    target = spark.createDataFrame([], MEMBER_STATS_SCHEMA).schema
+    for as_of in (fx.AS_OF, fx.PREV_AS_OF, fx.AS_OF):
+        sk.overwrite_partitions(aud.member_stats(members, as_of, fx.TZ), path, "date", target)
+    return spark.read.schema(target).parquet(path)
+
+
+def raw_archive_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK3: archive the member dump as JSON under the run date, read it back."""
+    path = sk.archive_json(fx.members(spark, sf_dir), shared_dir(spark), fx.AS_OF, "members.json")
+    raw = spark.read.schema(schemas.as_text_timestamps(schemas.MEMBERS)).json(path)
+    return _flat_members(raw.withColumns({c: rd.lenient_timestamp(F.col(c))
+                                          for c in ("created_at", "last_seen_at")}))
+
+
+def membership_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC1: land the memberships as the day's CSV, read it back with lenient dates."""
+    root = shared_dir(spark)
+    (fx.memberships(spark, sf_dir).write.mode("overwrite").option("header", True)
+     .csv(rd.membership_csv_path(root, fx.AS_OF)))
+    return rd.read_memberships_csv(spark, root, fx.AS_OF)
+
+
+def member_pages_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC2: land the member dump as pages plus an empty last page, read it back."""
+    path = f"{shared_dir(spark)}/member_pages"
+    members = _member_pages(fx.members(spark, sf_dir))
+    fields = [c for c in members.columns if c != "page"]
+    pages = members.groupBy("page").agg(F.collect_list(F.struct(*fields)).alias("members"))
+    empty = pages.limit(0).unionByName(
+        spark.range(1).select(F.lit(None).cast("bigint").alias("page"),
+                              F.array().cast(pages.schema["members"].dataType).alias("members")))
+    pages.select("members").unionByName(empty.select("members")).write.json(path)
+    return _flat_members(rd.read_member_pages(spark, path))
+
+
 QUERIES: dict[str, Query] = {
     "membership_periods": membership_periods,
     "weekly_member_report": _report(mem.WEEK),
@@ -74,6 +228,24 @@ QUERIES: dict[str, Query] = {
     "first_visit_by_month": _first_visit("month"),
     "weekly_service_report": _service("week"),
     "monthly_service_report": _service("month"),
+    "member_stats": member_stats,
+    "subscriber_stats": subscriber_stats,
+    "weekly_newsletters": weekly_newsletters,
+    "newsletter_stats": newsletter_stats,
+    "inactive_members": inactive_members,
+    "member_capacity": member_capacity,
+    "invite_batch": invite_batch,
+    "registry_new": registry_new,
+    "registry_missing": registry_missing,
+    "registry_mark_failed": registry_mark_failed,
+    "registry_upsert": registry_upsert,
+    "registry_sync": registry_sync,
+    "json_param_unnest": json_param_unnest,
+    "report_overwrite_roundtrip": report_overwrite_roundtrip,
+    "kpi_partition_roundtrip": kpi_partition_roundtrip,
+    "raw_archive_roundtrip": raw_archive_roundtrip,
+    "membership_csv_roundtrip": membership_csv_roundtrip,
+    "member_pages_roundtrip": member_pages_roundtrip,
 }
 
 _MP = "membership_periods"
@@ -112,4 +284,38 @@ ORACLE: dict[str, str] = {
     "first_visit_by_month": sql.first_visit_sql("month"),
     "weekly_service_report": sql.service_report_sql("week"),
     "monthly_service_report": sql.service_report_sql("month"),
+    "member_stats": sql.compose(sql.member_stats_body(sql.AS_OF), "members"),
+    "subscriber_stats": sql.compose(sql.subscriber_stats_body(sql.AS_OF), "members"),
+    "weekly_newsletters": sql.compose(sql.weekly_newsletters_body(sql.AS_OF), "newsletters"),
+    "newsletter_stats": sql.compose(sql.newsletter_stats_body(), "newsletters",
+                                    extra={"wk": sql.weekly_newsletters_body(sql.AS_OF)}),
+    "inactive_members": sql.compose(
+        f"SELECT id, email, subscribed, suppressed, email_count, email_open_rate FROM members "
+        f"WHERE {sql.INACTIVE}", "members"),
+    "member_capacity": sql.upkeep_sql(
+        """SELECT total, deleted, 2 * total AS member_limit,
+             greatest(0, 2 * total - total + deleted) AS capacity
+           FROM (SELECT count(*) AS total FROM members) t,
+                (SELECT count(DISTINCT id) AS deleted FROM deleted_ids) d""", "deleted_ids"),
+    "invite_batch": sql.upkeep_sql("SELECT * FROM invites", "invites"),
+    "registry_new": sql.upkeep_sql("SELECT * FROM new_members", "new_members"),
+    "registry_missing": sql.upkeep_sql("SELECT * FROM missing", "missing"),
+    "registry_mark_failed": sql.upkeep_sql(
+        f"""SELECT email, label, note, created_at,
+              CASE WHEN email IN (SELECT email FROM failed) THEN {sql.NOW_SQL} ELSE updated_at END AS updated_at,
+              CASE WHEN email IN (SELECT email FROM failed) THEN 'failed' ELSE status END AS status
+            FROM registry""", "failed"),
+    "registry_upsert": sql.upkeep_sql("SELECT * FROM upserted", "upserted"),
+    "registry_sync": sql.upkeep_sql(
+        f"""SELECT email, label, note, created_at,
+              CASE WHEN email IN (SELECT email FROM missing) THEN {sql.NOW_SQL} ELSE updated_at END AS updated_at,
+              CASE WHEN email IN (SELECT email FROM missing) THEN 'deleted' ELSE status END AS status
+            FROM upserted""", "upserted", "missing"),
+    "json_param_unnest": sql.compose("SELECT email, first_label AS label, note FROM members", "members"),
+    "report_overwrite_roundtrip": sql.member_report_sql("week_start_date"),
+    "kpi_partition_roundtrip": sql.compose(
+        sql.member_stats_body(sql.AS_OF) + " UNION ALL " + sql.member_stats_body(sql.PREV_AS_OF), "members"),
+    "raw_archive_roundtrip": sql.compose(sql.MEMBER_FLAT, "members"),
+    "membership_csv_roundtrip": sql.compose("SELECT * FROM memberships", "memberships"),
+    "member_pages_roundtrip": sql.compose(sql.MEMBER_FLAT, "members"),
 }
