@@ -97,18 +97,26 @@ def member_window(as_of, tz: str = DEFAULT_TZ) -> tuple[Column, Column]:
             local_instant(as_of, 0, MEMBER_WINDOW_HOUR, tz))
 
 
+def _between(ts: Column, start: Column, end: Column) -> Column:
+    # ``ts IS NOT NULL AND ..`` is never NULL (FALSE AND NULL = FALSE) and, unlike a
+    # coalesce wrapper, every conjunct reaches the parquet reader as a pushed filter.
+    return ts.isNotNull() & (ts >= start) & (ts < end)
+
+
 def in_member_window(df: DataFrame, name: str, as_of, tz: str = DEFAULT_TZ) -> Column:
     """FLT6 predicate on column ``name``; NULL timestamps are outside (False)."""
     start, end = member_window(as_of, tz)
-    ts = utc_wall(df, name)
-    return F.coalesce((ts >= start) & (ts < end), F.lit(False))
+    return _between(utc_wall(df, name), start, end)
 
 
 def in_date_window(df: DataFrame, name: str, as_of, tz: str = DEFAULT_TZ) -> Column:
-    """FLT5 predicate: local date of ``name`` in [as_of − 7d, as_of)."""
-    d = local_date(utc_wall(df, name), tz)
-    run = as_date(as_of)
-    return F.coalesce((d >= F.date_sub(run, WINDOW_DAYS)) & (d < run), F.lit(False))
+    """FLT5 predicate: local date of ``name`` in [as_of − 7d, as_of).
+
+    Evaluated as the instant range [local midnight of as_of − 7d, local
+    midnight of as_of), which is the same set and can be pushed to the scan.
+    """
+    return _between(utc_wall(df, name), local_instant(as_of, WINDOW_DAYS, 0, tz),
+                    local_instant(as_of, 0, 0, tz))
 
 
 def truncate_now(now) -> Column:

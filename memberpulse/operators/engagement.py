@@ -8,15 +8,15 @@
   hit" and "some first-visit hit" — and a second, tiny aggregation counts
   flagged users per period.  Both web-log metrics share one scan and one
   shuffle; the result feeds both the UNION branch and the first-visit side.
-* ``union`` of the two per-period counts, full outer join with first visits
-  on the period (left period kept, as the SQL does), ordered by period.
+* ``union`` of the two per-period counts; first visits attached per period
+  (the SQL's full outer join, see ``active_users``), ordered by period.
 
 Everything after the first aggregation has one row per period.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from memberpulse.functions.ratios import zero_ratio
@@ -87,18 +87,31 @@ def active_users(app: DataFrame, ga: DataFrame, grain: str = "week", active: Col
     """OP3 / OP4: (period, WAU|MAU, first_visit), two rows per period.
 
     One row carries the app-user count, the other the active web-log users;
-    both carry the period's first visits.
+    both carry the period's first visits.  Same result as the SQL's
+    ``(app ∪ web) FULL OUTER JOIN first_visits ON period``, but the web-log
+    aggregate is consumed ONCE: an app row takes the first visits of its
+    period from the web row through a window over the few per-period rows
+    (referencing the aggregate twice would scan and shuffle the web log twice,
+    as column pruning makes the two branches differ).  As in the join, a NULL
+    period matches nothing: its rows get 0 first visits and the web log's
+    NULL-period first visits come as a row of their own.
     """
     period = _period_name(grain)
     metric = "WAU" if grain == "week" else "MAU"
-    web = web_log_users(ga, grain, active, tz)
-    users = (app_users(app, grain, tz).select(period, F.col("users").alias("n"))
-             .union(web.select(period, F.col("active_users").alias("n"))))
-    fv = web.select(F.col(period).alias("fv_period"), "first_visit")
-    joined = users.join(fv, users[period] == fv["fv_period"], "full")
-    return (joined.select(F.col(period),
-                          F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias(metric),
-                          F.coalesce(F.col("first_visit"), F.lit(0)).cast("bigint").alias("first_visit"))
+    app_rows = app_users(app, grain, tz).select(
+        period, F.col("users").alias("n"), F.lit(None).cast("bigint").alias("fv"), F.lit(False).alias("web"))
+    web_rows = web_log_users(ga, grain, active, tz).select(
+        period, F.col("active_users").alias("n"), F.col("first_visit").alias("fv"), F.lit(True).alias("web"))
+    p = F.col(period)
+    both = app_rows.unionByName(web_rows).withColumn(
+        "matched", F.when(p.isNotNull(), F.max("fv").over(Window.partitionBy(period))))
+    zero = F.lit(0).cast("bigint")
+    own = F.struct(F.col("n").alias("n"), F.coalesce(F.col("matched"), zero).alias("first_visit"))
+    unmatched_fv = F.struct(zero.alias("n"), F.col("fv").alias("first_visit"))
+    out = F.when(F.col("web") & p.isNull(), F.array(own, unmatched_fv)).otherwise(F.array(own))
+    return (both.select(period, F.inline(out))
+            .select(period, F.col("n").cast("bigint").alias(metric),
+                    F.col("first_visit").cast("bigint").alias("first_visit"))
             .orderBy(period))
 
 
