@@ -8,16 +8,21 @@ Convention: inside the library every instant is a *UTC wall-clock*
 * ``STRING``         lenient parse (FN1): bad text becomes NULL,
 * ``DATE``           midnight UTC.
 
-Local calendars are derived with ``convert_timezone`` so results never depend
-on ``spark.sql.session.timeZone``.  All bounds are constant expressions, so
-Catalyst folds them to literals and parquet receives them as pushed filters.
+Local calendars never depend on ``spark.sql.session.timeZone``.  Per-row
+conversions use ``from_utc_timestamp`` with a literal zone (the zone rules are
+resolved once per task; ``convert_timezone`` re-parses the zone id for every
+row and costs several times a parquet scan).  Moving between a wall clock and
+an instant is a plain cast when the session zone is UTC — Spark pins the zone
+into the plan when the DataFrame is built — and exact microsecond arithmetic
+otherwise.  All bounds are constant expressions, so Catalyst folds them to
+literals and parquet receives them as pushed filters.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +36,32 @@ WINDOW_DAYS = 7
 _ZONED = r"^\S+[T ]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*([Zz]|[+-]\d{2}(:?\d{2})?)$"
 
 
+_UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00", "Zulu"}
+
+
+def _session_is_utc() -> bool:
+    spark = SparkSession.getActiveSession()
+    return spark is not None and spark.conf.get("spark.sql.session.timeZone") in _UTC_NAMES
+
+
+def _epoch_wall() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def wall_to_instant(utc_wall_col: Column) -> Column:
+    """UTC wall clock (NTZ) -> the instant (TIMESTAMP) it denotes."""
+    if _session_is_utc():
+        return utc_wall_col.cast("timestamp")
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_wall(), utc_wall_col))
+
+
+def instant_to_wall(instant: Column) -> Column:
+    """An instant (TIMESTAMP) -> its UTC wall clock (NTZ)."""
+    if _session_is_utc():
+        return instant.cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), _epoch_wall())
+
+
 def lenient_timestamp(col: Column) -> Column:
     """FN1: text -> UTC wall-clock timestamp; unparsable or NULL -> NULL.
 
@@ -38,7 +69,7 @@ def lenient_timestamp(col: Column) -> Column:
     to be UTC, as ``pd.to_datetime(.., utc=True)`` does.
     """
     s = F.trim(col)
-    as_instant = F.convert_timezone(None, F.lit("UTC"), s.try_cast("timestamp"))
+    as_instant = instant_to_wall(s.try_cast("timestamp"))
     return F.when(s.rlike(_ZONED), as_instant).otherwise(s.try_cast("timestamp_ntz"))
 
 
@@ -49,7 +80,7 @@ def utc_wall(df: DataFrame, name: str) -> Column:
     if isinstance(dtype, T.TimestampNTZType):
         return col
     if isinstance(dtype, T.TimestampType):
-        return F.convert_timezone(None, F.lit("UTC"), col)
+        return instant_to_wall(col)
     if isinstance(dtype, T.StringType):
         return lenient_timestamp(col)
     if isinstance(dtype, T.DateType):
@@ -59,7 +90,7 @@ def utc_wall(df: DataFrame, name: str) -> Column:
 
 def to_local(utc: Column, tz: str = DEFAULT_TZ) -> Column:
     """FN2/FN3: UTC wall clock -> local wall clock of ``tz`` (both NTZ)."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
+    return instant_to_wall(F.from_utc_timestamp(wall_to_instant(utc), tz))
 
 
 def local_date(utc: Column, tz: str = DEFAULT_TZ) -> Column:

@@ -6,7 +6,7 @@ Plan shape of ``member_report`` (one scan of the memberships):
    identity holding a third of all rows ships one combined row per map task.
    It keeps the identity's first ``row_id`` in the period, the count of
    'first paid' rows, three "has at least one qualifying row" flags
-   (churned / active paid / same-day paid signup) and decimal money sums.
+   (churned / active paid / same-day paid signup) and money sums in whole cents.
 2. ``min(first_row) over (partition by identity)`` on that aggregate marks the
    period of the identity's first row in file order (AGG1) — no sort of raw rows.
 3. ``groupBy(period)`` sums the flags: exact distinct-identity counts without
@@ -33,7 +33,16 @@ PAID_STATUSES = ("paid", "first paid")
 
 WEEK = "week_start_date"
 MONTH = "year_month_date"
-MONEY = "decimal(18,2)"
+
+
+def cents(name: str) -> Column:
+    """Money as whole cents (T8): exact, order-independent sums at the speed of a
+    long sum (a ``decimal(18,2)`` sum widens to an object-backed decimal(28,2))."""
+    return F.round(F.col(name) * 100).cast("bigint")
+
+
+def from_cents(col: Column) -> Column:
+    return col.cast("double") / 100
 
 REPORT_COLUMNS = ("signup_count", "cumsum_signup_count", "first_paid_count", "active_paid_users",
                   "churn_count", "cumsum_active_paid", "paid_signup", "free_signup",
@@ -98,8 +107,8 @@ def member_report(df: DataFrame, period_col: str = WEEK, tz: str = DEFAULT_TZ,
                   & F.col("churn_date").isNull()).alias("active_paid"),
         F.bool_or(known & F.coalesce(st == FIRST_PAID, F.lit(False))
                   & _same_local_day("signup_date", "payment_date", tz)).alias("paid_signup"),
-        F.sum(F.col("amount").cast(MONEY)).alias("payment"),
-        F.sum(F.col("refund").cast(MONEY)).alias("refund"),
+        F.sum(cents("amount")).alias("payment"),
+        F.sum(cents("refund")).alias("refund"),
     )
     first_seen = F.col("first_row") == F.min("first_row").over(Window.partitionBy("identity"))
     per_period = per_identity.withColumn("is_first", first_seen).groupBy(period_col).agg(
@@ -129,8 +138,8 @@ def _finish_report(per_period: DataFrame, period_col: str) -> DataFrame:
     """Running totals (WIN1, WIN2), derived columns (PRJ3) and ratios (RAT1, RAT2)."""
     running = (Window.orderBy(F.col(period_col).asc_nulls_last())
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    payment = F.coalesce(F.col("payment"), F.lit(0).cast(MONEY))
-    refund = F.coalesce(F.col("refund"), F.lit(0).cast(MONEY))
+    payment = F.coalesce(F.col("payment"), F.lit(0).cast("bigint"))
+    refund = F.coalesce(F.col("refund"), F.lit(0).cast("bigint"))
     out = per_period.select(
         F.coalesce(F.col(period_col), F.lit(EPOCH)).alias(period_col),
         "signup_count",
@@ -149,9 +158,9 @@ def _finish_report(per_period: DataFrame, period_col: str) -> DataFrame:
         zero_ratio("first_paid_count", "signup_count", 4).alias("signup_to_paid"),
         zero_ratio("cumsum_active_paid",
                    F.col("cumsum_signup_count") - F.col("cumsum_active_paid"), 4).alias("free_to_paid"),
-        F.col("payment").cast("double").alias("payment"),
-        F.col("refund").cast("double").alias("refund"),
-        (F.col("payment") - F.col("refund")).cast("double").alias("weekly_revenue"),
+        from_cents(F.col("payment")).alias("payment"),
+        from_cents(F.col("refund")).alias("refund"),
+        from_cents(F.col("payment") - F.col("refund")).alias("weekly_revenue"),
     )
 
 
@@ -160,21 +169,38 @@ def _finish_report(per_period: DataFrame, period_col: str) -> DataFrame:
 def first_seen_signups(df: DataFrame, period_col: str = WEEK) -> DataFrame:
     """AGG1/WIN3: per period, identities whose first row (file order) falls in it.
 
-    ``min(struct(row_id, period))`` per identity is a partial aggregate; a
-    first row without a period counts nowhere (T3).
+    ``min_by(period, row_id)`` per identity is a hash-based partial aggregate
+    (it keeps the period of the smallest row_id, NULL included); a first row
+    without a period counts nowhere (T3).
     """
     first = (df.groupBy("identity")
-             .agg(F.min(F.struct("row_id", period_col)).alias("first"))
-             .select(F.col(f"first.{period_col}").alias(period_col)))
+             .agg(F.min_by(period_col, "row_id").alias(period_col)))
     return (first.where(F.col(period_col).isNotNull())
             .groupBy(period_col).agg(F.count("*").alias("signup_count")))
 
 
+def _with_period(agg_df: DataFrame) -> DataFrame:
+    """Drop the group of rows without a period, after aggregating.
+
+    ``_n`` = count of non-NULL periods in the group (0 only for the NULL group).
+    Filtering on an aggregate output keeps Catalyst from pushing the predicate
+    below the aggregate, where it would inline and evaluate the whole period
+    expression a second time per input row.
+    """
+    return agg_df.where(F.col("_n") > 0).drop("_n")
+
+
 def paid_signups(df: DataFrame, period_col: str = WEEK, tz: str = DEFAULT_TZ) -> DataFrame:
-    """AGG5: distinct identities with a 'first paid' row paid on the signup day."""
-    hit = (F.col("payment_status") == FIRST_PAID) & _same_local_day("signup_date", "payment_date", tz)
-    return (df.where(hit & F.col(period_col).isNotNull())
-            .groupBy(period_col).agg(F.count_distinct("identity").alias("paid_signup")))
+    """AGG5: distinct identities with a 'first paid' row paid on the signup day.
+
+    Only periods with such a row appear (as the reference's filter-then-group does).
+    """
+    hit = F.coalesce(F.col("payment_status") == FIRST_PAID, F.lit(False)) \
+        & _same_local_day("signup_date", "payment_date", tz)
+    agg = df.groupBy(period_col).agg(
+        F.count_distinct(F.when(hit, F.col("identity"))).alias("paid_signup"),
+        F.count_if(hit).alias("_hits"), F.count(period_col).alias("_n"))
+    return _with_period(agg.where(F.col("_hits") > 0).drop("_hits"))
 
 
 def churn_and_active(df: DataFrame, period_col: str = WEEK) -> DataFrame:
@@ -185,19 +211,22 @@ def churn_and_active(df: DataFrame, period_col: str = WEEK) -> DataFrame:
     A period where neither holds reports 0 for both.
     """
     known = F.col("identity").isNotNull()
-    pairs = df.where(F.col(period_col).isNotNull()).groupBy(period_col, "identity").agg(
+    pairs = df.groupBy(period_col, "identity").agg(
         F.bool_or(known & F.col("churn_date").isNotNull()).alias("churned"),
         F.bool_or(known & F.coalesce(F.col("payment_status").isin(*PAID_STATUSES), F.lit(False))
                   & F.col("churn_date").isNull()).alias("active"))
-    return pairs.groupBy(period_col).agg(F.count_if("churned").alias("churn_count"),
-                                         F.count_if("active").alias("active_paid_users"))
+    return _with_period(pairs.groupBy(period_col).agg(
+        F.count_if("churned").alias("churn_count"),
+        F.count_if("active").alias("active_paid_users"),
+        F.count(period_col).alias("_n")))
 
 
 def revenue(df: DataFrame, period_col: str = WEEK) -> DataFrame:
     """AGG6: payment and refund sums per period (all-NULL -> 0) and their difference."""
-    sums = (df.where(F.col(period_col).isNotNull()).groupBy(period_col)
-            .agg(F.coalesce(F.sum(F.col("amount").cast(MONEY)), F.lit(0).cast(MONEY)).alias("p"),
-                 F.coalesce(F.sum(F.col("refund").cast(MONEY)), F.lit(0).cast(MONEY)).alias("r")))
-    return sums.select(period_col, F.col("p").cast("double").alias("payment"),
-                       F.col("r").cast("double").alias("refund"),
-                       (F.col("p") - F.col("r")).cast("double").alias("weekly_revenue"))
+    sums = _with_period(df.groupBy(period_col).agg(
+        F.coalesce(F.sum(cents("amount")), F.lit(0).cast("bigint")).alias("p"),
+        F.coalesce(F.sum(cents("refund")), F.lit(0).cast("bigint")).alias("r"),
+        F.count(period_col).alias("_n")))
+    return sums.select(period_col, from_cents(F.col("p")).alias("payment"),
+                       from_cents(F.col("r")).alias("refund"),
+                       from_cents(F.col("p") - F.col("r")).alias("weekly_revenue"))

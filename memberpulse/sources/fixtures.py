@@ -31,9 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _plus(ts: Column, days: Column | int = 0, hours: Column | int = 0) -> Column:
+    """``ts`` + a day-time interval (interval arithmetic is several times cheaper
+    per row than ``timestamp_add``, which matches its unit string per row)."""
     def lit(x):
-        return x if isinstance(x, Column) else F.lit(x)
-    return F.timestamp_add("HOUR", lit(hours), F.timestamp_add("DAY", lit(days), ts))
+        return x.cast("int") if isinstance(x, Column) else F.lit(x)
+    return ts + F.make_dt_interval(lit(days), lit(hours))
 
 
 def _ntz(text: str) -> Column:

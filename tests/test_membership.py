@@ -95,7 +95,7 @@ def test_distinct_counts_flags_and_money(spark):
     assert r["churn_count"] == 2                # 2 and 5
     assert r["first_paid_count"] == 2
     assert r["paid_signup"] == 1                # only identity 3: same local day
-    assert r["payment"] == 34.0                 # decimal sum: 10.10 + 20.20 + 0.30 + 1 + 2 + 0.4
+    assert r["payment"] == 34.0                 # exact cents: 10.10 + 20.20 + 0.30 + 1 + 2 + 0.4
     assert r["weekly_revenue"] == 34.0
 
 
