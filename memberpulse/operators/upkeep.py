@@ -7,12 +7,15 @@ of outcomes (ids confirmed deleted, emails whose invite failed).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from memberpulse.functions.predicates import has_label_other_than, inactive_member
 
 PENDING = "pending"
+# Largest n for which one task may keep the top n rows (TakeOrderedAndProject);
+# above it the exact distributed ranking of ``first_n_by_key`` is used.
+SINGLE_TASK_ROWS = 1_000_000
 
 
 def inactive_members(members: DataFrame) -> DataFrame:
@@ -51,18 +54,44 @@ def invite_order(seed: str) -> Column:
     return F.md5(F.concat(F.col("email"), F.lit(str(seed))))
 
 
-def invite_batch(registry: DataFrame, n: int, seed: str) -> DataFrame:
+def first_n_by_key(df: DataFrame, key: str, n: int) -> DataFrame:
+    """The ``n`` rows with the smallest ``key`` (unique), without a single-task merge.
+
+    Range-partition and sort by ``key``, write the result once to the shared
+    checkpoint folder (so counting and filtering see the same partitions and
+    lineage is cut), count rows per partition — one row per partition, a
+    bounded broadcast — turn the counts into offsets, and keep rows whose
+    global rank (offset + position in partition) is below ``n``.
+    """
+    ranked = (df.repartitionByRange(key).sortWithinPartitions(key)
+              .withColumn("_pid", F.spark_partition_id())
+              .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
+              .checkpoint(eager=True))
+    sizes = ranked.groupBy("_pid").agg(F.count("*").alias("_rows"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_pid", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    return (ranked.join(F.broadcast(offsets), "_pid")
+            .where(F.col("_offset") + F.col("_pos") < n)
+            .drop("_pid", "_pos", "_offset"))
+
+
+def invite_batch(registry: DataFrame, n: int, seed: str, single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """OP12: ``n`` pending registry rows in a seeded uniform random order, as invite payloads.
 
-    ``orderBy(..).limit(n)`` plans as ``TakeOrderedAndProject``: every task
-    keeps its own top ``n`` and only those meet in the last step — ``n`` is the
-    invite capacity, bounded by the member limit.  Payload: email,
-    labels [{name: label, slug: lower(label)}], note ('' when NULL) (PRJ7).
+    For ``n`` up to ``single_task_rows`` (the invite capacity is bounded by the
+    member limit) ``orderBy(..).limit(n)`` plans as ``TakeOrderedAndProject``:
+    every task keeps its own top ``n`` and only those meet in the last step.
+    Larger ``n`` use the exact distributed ranking of ``first_n_by_key``.
+    Payload: email, labels [{name: label, slug: lower(label)}], note ('' when
+    NULL) (PRJ7).
     """
     if n < 0:
         raise ValueError("n must be >= 0")
-    picked = (registry.where(F.col("status") == PENDING)
-              .orderBy(invite_order(seed)).limit(int(n)))
+    pending = registry.where(F.col("status") == PENDING).withColumn("_key", invite_order(seed))
+    if n <= single_task_rows:
+        picked = pending.orderBy("_key").limit(int(n))
+    else:
+        picked = first_n_by_key(pending, "_key", int(n))
     return picked.select(
         "email",
         F.array(F.struct(F.col("label").alias("name"), F.lower("label").alias("slug"))).alias("labels"),

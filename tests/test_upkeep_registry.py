@@ -113,3 +113,14 @@ def test_upsert_rejects_repeated_source_email(spark):
                                 "email string, label string, note string")
     with pytest.raises(Exception, match="repeats email"):
         reg.upsert(r, src, NOW).collect()
+
+
+def test_invite_batch_distributed_path_equals_single_task(spark):
+    """Above the single-task bound the exact distributed ranking gives the same rows."""
+    r = fx.registry(spark, SF_SMALL).repartition(5)
+    for n in (0, 7, 40, 10_000):
+        small = sorted(x["email"] for x in rows(up.invite_batch(r, n, "7")))
+        big = sorted(x["email"] for x in rows(up.invite_batch(r, n, "7", single_task_rows=0)))
+        assert small == big, n
+    plan = plan_text(up.invite_batch(r, 40, "7", single_task_rows=0))
+    assert "TakeOrderedAndProject" not in plan and "BroadcastHashJoin" in plan
