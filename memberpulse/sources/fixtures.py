@@ -27,7 +27,12 @@ TZ = "Asia/Seoul"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table, loaded once per session (file listing and footer read happen once)."""
+    loaded = spark.__dict__.setdefault("_memberpulse_tables", {})
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in loaded:
+        loaded[path] = spark.read.parquet(path)
+    return loaded[path]
 
 
 def _plus(ts: Column, days: Column | int = 0, hours: Column | int = 0) -> Column:
