@@ -92,7 +92,8 @@ def main(argv: list[str]) -> int:
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     keys = argv[1:]
-    spark = get_session("local[8]", shuffle_partitions=8)
+    extra = dict(kv.split("=", 1) for kv in os.environ.get("ORACLE_SPARK_CONF", "").split(";") if kv)
+    spark = get_session("local[8]", shuffle_partitions=8, conf=extra)
     con = duck(sf_dir)
     qs, oracle = entry.queries(), entry.oracle_sql()
     bad = 0
