@@ -27,11 +27,23 @@ TZ = "Asia/Seoul"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table, loaded once per session (file listing and footer read happen once)."""
+    """A test table, loaded once per session (file listing and footer read happen once).
+
+    Each test table is one parquet file with a single row group, which Spark
+    reads in ONE task — unlike a large input, whose files and row groups give
+    thousands of scan tasks.  A table read in fewer partitions than the
+    session's default parallelism is spread round-robin over the cores once,
+    so the plans run as they would on a many-file input; a large input is
+    returned untouched.  Column pruning and filters still reach the scan.
+    """
     loaded = spark.__dict__.setdefault("_memberpulse_tables", {})
     path = f"{sf_dir}/{name}.parquet"
     if path not in loaded:
-        loaded[path] = spark.read.parquet(path)
+        df = spark.read.parquet(path)
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+        loaded[path] = df
     return loaded[path]
 
 
