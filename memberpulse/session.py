@@ -19,6 +19,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join partition even when that adds a shuffle after the join:
+    # a join output hash-partitioned by a hot key would otherwise feed a whole
+    # hot group to one task in the operators that reuse that partitioning.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # PySpark 4 records the Python call site of every Column call for error

@@ -143,3 +143,20 @@ def test_single_metric_operators_match_report(spark):
         assert rep[r[mem.WEEK]]["paid_signup"] == r["paid_signup"]
     for r in rows(mem.revenue(periods)):
         assert rep[r[mem.WEEK]]["payment"] == r["payment"]
+
+
+def test_hot_identity_is_combined_before_the_shuffle(spark, scratch):
+    """One identity holds a third of the rows: the plan must partially aggregate
+    (period, identity) on the map side before exchanging, and counts stay exact."""
+    data = [(1 if i % 3 == 0 else i, "paid", "2024-01-01 00:00:00",
+             f"2024-0{1 + i % 2}-{1 + i % 27:02d} 0{i % 10}:00:00", None, 1.0, None) for i in range(3000)]
+    memberships(spark, data).write.parquet(f"{scratch}/m")
+    df = mem.with_periods(spark.read.parquet(f"{scratch}/m"))
+    rep = mem.member_report(df, mem.WEEK)
+    plan = plan_text(rep)
+    first_exchange = plan.index("Exchange hashpartitioning(week_start_date#")
+    assert "partial_min(row_id" in plan[first_exchange:], plan     # partial aggregate below the exchange
+    assert "Expand" not in plan
+    got = rows(rep)
+    assert sum(r["signup_count"] for r in got) == len({r[0] for r in data})   # every identity once
+    assert sum(r["payment"] for r in got) == 3000.0
