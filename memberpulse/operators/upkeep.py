@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from memberpulse.functions.predicates import has_label_other_than, inactive_member
+from memberpulse.session import shared_dir
 
 PENDING = "pending"
 # Largest n for which one task may keep the top n rows (TakeOrderedAndProject);
@@ -63,6 +64,7 @@ def first_n_by_key(df: DataFrame, key: str, n: int) -> DataFrame:
     bounded broadcast — turn the counts into offsets, and keep rows whose
     global rank (offset + position in partition) is below ``n``.
     """
+    shared_dir(df.sparkSession)          # the session's checkpoint folder (set only where unset)
     ranked = (df.repartitionByRange(key).sortWithinPartitions(key)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL, d, plan_text, rows, ts
-from memberpulse import schemas
 from memberpulse.plans import jobs
 from memberpulse.sources import fixtures as fx
 from memberpulse.sources import readers as rd
