@@ -213,6 +213,26 @@ def member_pages_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_members(rd.read_member_pages(spark, path))
 
 
+def post_pages_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC3: land the post dump as pages, read it back, select the week's newsletters."""
+    path = f"{shared_dir(spark)}/post_pages"
+    posts = fx.newsletters(spark, sf_dir).withColumn("page", F.floor(F.col("title").substr(6, 20).cast("bigint") / 100))
+    fields = [c for c in posts.columns if c != "page"]
+    posts.groupBy("page").agg(F.collect_list(F.struct(*fields)).alias("posts")).select("posts").write.json(path)
+    weekly = nl.weekly_newsletters(rd.read_post_pages(spark, path), fx.AS_OF, fx.TZ)
+    return weekly.select(
+        "title", "status", "published_at", "email_segment",
+        F.col("email.email_count").alias("email_count"), F.col("email.opened_count").alias("opened_count"),
+        F.col("email.delivered_count").alias("delivered_count"), F.col("count.clicks").alias("clicks"))
+
+
+def registry_active_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC6: write the registry as a table, scan it filtered by status and projected."""
+    path = f"{shared_dir(spark)}/registry"
+    fx.registry(spark, sf_dir).write.parquet(path)
+    return rd.read_registry(spark, path, "active", ("email", "label", "updated_at"))
+
+
 QUERIES: dict[str, Query] = {
     "membership_periods": membership_periods,
     "weekly_member_report": _report(mem.WEEK),
@@ -246,6 +266,8 @@ QUERIES: dict[str, Query] = {
     "raw_archive_roundtrip": raw_archive_roundtrip,
     "membership_csv_roundtrip": membership_csv_roundtrip,
     "member_pages_roundtrip": member_pages_roundtrip,
+    "post_pages_roundtrip": post_pages_roundtrip,
+    "registry_active_scan": registry_active_scan,
 }
 
 _MP = "membership_periods"
@@ -318,4 +340,7 @@ ORACLE: dict[str, str] = {
     "raw_archive_roundtrip": sql.compose(sql.MEMBER_FLAT, "members"),
     "membership_csv_roundtrip": sql.compose("SELECT * FROM memberships", "memberships"),
     "member_pages_roundtrip": sql.compose(sql.MEMBER_FLAT, "members"),
+    "post_pages_roundtrip": sql.compose(sql.weekly_newsletters_body(sql.AS_OF), "newsletters"),
+    "registry_active_scan": sql.compose(
+        "SELECT email, label, updated_at FROM registry WHERE status = 'active'", "registry"),
 }
