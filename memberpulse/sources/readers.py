@@ -53,7 +53,14 @@ def read_member_pages(spark: SparkSession, path: str) -> DataFrame:
     with ``inline``; the empty last page contributes no rows.
     """
     pages = spark.read.schema(schemas.MEMBER_PAGE).json(path)
-    return _parse_text_timestamps(pages.select(F.inline("members")), schemas.MEMBERS)
+    members = _parse_text_timestamps(pages.select(F.inline("members")), schemas.MEMBERS)
+    return members.withColumn("email", required(F.col("email"), "member record without email"))
+
+
+def required(col, message: str):
+    """``col``, failing the job on a NULL (T17: keys declared non-NULL are enforced on read,
+    since file readers do not enforce schema nullability)."""
+    return F.when(col.isNull(), F.raise_error(F.lit(message))).otherwise(col)
 
 
 def read_post_pages(spark: SparkSession, path: str) -> DataFrame:

@@ -162,3 +162,19 @@ def test_no_python_udf_or_cartesian_anywhere(spark):
         plan = plan_text(q(spark, SF_SMALL))
         for bad in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "CartesianProduct"):
             assert bad not in plan, (key, bad)
+
+
+def test_member_without_email_is_rejected_on_read(spark, scratch):
+    """A NULL key would never match in the anti-joins; the read fails instead."""
+    with open(f"{scratch}/page.json", "w") as f:
+        f.write(json.dumps({"members": [{"id": "m1", "email": None}]}) + "\n")
+    with pytest.raises(Exception, match="member record without email"):
+        rd.read_member_pages(spark, scratch).collect()
+
+
+def test_snapshot_never_overwrites(spark, scratch):
+    """The next registry snapshot goes to a new path; writing over an existing one fails."""
+    df = fx.registry(spark, SF_SMALL)
+    sk.write_snapshot(df, f"{scratch}/v1")
+    with pytest.raises(Exception, match="already exists|PATH_ALREADY_EXISTS"):
+        sk.write_snapshot(df, f"{scratch}/v1")
