@@ -164,9 +164,10 @@ def _flat_members(df: DataFrame) -> DataFrame:
 def report_overwrite_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK1: overwrite the weekly report twice (idempotent), read it back."""
     path = f"{shared_dir(spark)}/weekly_report"
-    report = _report(mem.WEEK)(spark, sf_dir)
+    report = _report(mem.WEEK)(spark, sf_dir).persist()      # computed once for both writes
     sk.overwrite_report(report, path)
     sk.overwrite_report(report, path)
+    report.unpersist()
     return spark.read.parquet(path)
 
 
