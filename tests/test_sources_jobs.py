@@ -178,3 +178,14 @@ def test_snapshot_never_overwrites(spark, scratch):
     sk.write_snapshot(df, f"{scratch}/v1")
     with pytest.raises(Exception, match="already exists|PATH_ALREADY_EXISTS"):
         sk.write_snapshot(df, f"{scratch}/v1")
+
+
+def test_command_line_member_upkeep(spark, scratch):
+    from memberpulse.__main__ import main
+    _land_member_pages(spark, SF_SMALL, f"{scratch}/members")
+    fx.registry(spark, SF_SMALL).write.parquet(f"{scratch}/registry")
+    out = main(["member-upkeep", "--member-pages", f"{scratch}/members", "--registry", f"{scratch}/registry",
+                "--out", f"{scratch}/out", "--now", fx.NOW, "--member-limit", "2000", "--seed", fx.SEED,
+                "--fresh-member-pages", f"{scratch}/members"])
+    assert spark.read.parquet(out["deletion_candidates"]).count() > 0
+    assert spark.read.parquet(out["registry_synced"]).count() > 0
