@@ -24,6 +24,7 @@ SEED = "7"
 INVITE_BATCH = 20
 MEMBER_PAGE_SIZE = 100             # members per landed page / per JSON array
 TZ = "Asia/Seoul"
+SPREAD_ROWS = 100_000              # below this a single scan task beats an extra shuffle
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,17 +32,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
     Each test table is one parquet file with a single row group, which Spark
     reads in ONE task — unlike a large input, whose files and row groups give
-    thousands of scan tasks.  A table read in fewer partitions than the
-    session's default parallelism is spread round-robin over the cores once,
-    so the plans run as they would on a many-file input; a large input is
-    returned untouched.  Column pruning and filters still reach the scan.
+    thousands of scan tasks.  A table of at least ``SPREAD_ROWS`` rows read in
+    fewer partitions than the session's default parallelism is spread
+    round-robin over the cores once, so the plans run as they would on a
+    many-file input (smaller tables are cheaper in one task than with an extra
+    shuffle; a many-file input is returned untouched).  Column pruning and
+    filters still reach the scan; the row count comes from parquet metadata.
     """
     loaded = spark.__dict__.setdefault("_memberpulse_tables", {})
     path = f"{sf_dir}/{name}.parquet"
     if path not in loaded:
         df = spark.read.parquet(path)
         cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
+        if df.rdd.getNumPartitions() < cores and df.count() >= SPREAD_ROWS:
             df = df.repartition(cores)
         loaded[path] = df
     return loaded[path]
