@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from memberpulse.functions.predicates import first_label_name
 from memberpulse.functions.temporal import truncate_now
 
+# The registry's status vocabulary (with "pending", see upkeep.PENDING).
 ACTIVE = "active"
 DELETED = "deleted"
 FAILED = "failed"

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from memberpulse.functions.predicates import has_label_other_than, inactive_member
 from memberpulse.session import shared_dir
 
+# Fixed value: the registry status of rows waiting for an invite.
 PENDING = "pending"
+
 # Largest n for which one task may keep the top n rows (TakeOrderedAndProject);
 # above it the exact distributed ranking of ``first_n_by_key`` is used.
 SINGLE_TASK_ROWS = 1_000_000
