@@ -70,3 +70,27 @@ def shared_dir(spark: SparkSession) -> str:
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
     return os.path.join(root, "memberpulse", uuid.uuid4().hex)
+
+
+def sizing_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
+                max_shuffle_partitions: int = 100_000) -> dict[str, str]:
+    """Partition sizing for an input of ``input_bytes`` (pass to ``get_session(conf=...)``).
+
+    * scan splits of ``target_partition_bytes`` (columnar input decoded to a few
+      times its size still fits an executor core's memory share);
+    * initial shuffle partitions = input / target (floored at 200, capped), which
+      AQE then coalesces to ``target_partition_bytes`` per reducer — the
+      aggregates here combine map-side, so shuffles are usually far smaller;
+    * skew handling triggers for partitions over twice the target.
+
+    At 100 TB this gives ~400k scan tasks and starts shuffles at the cap
+    (100k partitions), coalesced at run time.
+    """
+    shuffle = max(200, min(max_shuffle_partitions, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+    }

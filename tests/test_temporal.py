@@ -76,3 +76,11 @@ def test_window_bounds_fold_to_literals_and_push_down(spark, scratch):
 def test_truncate_now(spark):
     r = spark.range(1).select(tm.truncate_now("2024-01-22 05:00:00.789")).first()[0]
     assert r == ts("2024-01-22 05:00:00")
+
+
+def test_sizing_conf_scales_with_input():
+    from memberpulse.session import sizing_conf
+    small, big = sizing_conf(10 << 20), sizing_conf(100 << 40)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert sizing_conf(1 << 40)["spark.sql.shuffle.partitions"] == "4096"
