@@ -130,3 +130,37 @@ def test_fused_sync_equals_diff_upsert_mark(spark, reg_rows, dump):
     new, missing = reg.registry_diff(members, registry)
     composed = reg.set_status(reg.upsert(registry, new, now), missing, reg.DELETED, now)
     assert rows(composed, "email") == rows(reg.sync(registry, members, now), "email")
+
+
+random_members = st.lists(st.tuples(
+    st.lists(st.sampled_from(["english", "korean", "internal", None]), max_size=3),   # label slugs
+    st.sampled_from([True, False, None]),                                              # subscribed
+    st.sampled_from([True, False, None]),                                              # suppressed
+    _ts(), _ts(),                                                                      # created, last seen
+), min_size=1, max_size=30)
+
+
+@SETTINGS
+@given(data=random_members)
+def test_language_kpis_match_brute_force(spark, data):
+    """OP6/OP7 against a direct count in Python over the same rows (window: 2024-01-15..22 10:00 KST)."""
+    from memberpulse.operators import audience as aud
+    lo, hi = dt.datetime(2024, 1, 8, 1), dt.datetime(2024, 1, 15, 1)      # as_of 2024-01-15, in UTC
+    recs = [(f"m{i}", f"u{i}@x", [{"name": s, "slug": s} for s in slugs], None, sub, {"suppressed": sup},
+             0, None, created, seen) for i, (slugs, sub, sup, created, seen) in enumerate(data)]
+    df = spark.createDataFrame(recs, schemas.MEMBERS)
+    got_m = {r["lang_code"]: r for r in rows(aud.member_stats(df, "2024-01-15"))}
+    got_s = {r["lang_code"]: r for r in rows(aud.subscriber_stats(df, "2024-01-15"))}
+    inside = lambda t: t is not None and lo <= t < hi
+    for code, slug in (("en", "english"), ("ko", "korean")):
+        mine = [r for r in data if slug in r[0]]
+        total = len(mine)
+        active = sum(inside(r[4]) for r in mine)
+        subscriber = sum(r[1] is True and r[2] is False for r in mine)
+        assert (got_m[code]["total"], got_m[code]["active"], got_m[code]["subscriber"]) == (total, active, subscriber)
+        assert got_m[code]["engagement_rate"] == (None if total == 0 else round(active / total + 0.0, 3)) or \
+            abs(got_m[code]["engagement_rate"] - active / total) <= 0.0005
+        new = sum(inside(r[3]) and r[2] is False for r in mine)
+        churn = sum(r[1] is False and inside(r[4]) and r[2] is False for r in mine)
+        assert (got_s[code]["total"], got_s[code]["new"], got_s[code]["churn"], got_s[code]["net"]) == \
+            (subscriber, new, churn, new - churn)
