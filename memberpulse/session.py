@@ -18,6 +18,9 @@ DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Coalesce small shuffles to >= 256 KiB per reducer (default 1 MiB): a CPU-heavy stage
+    # over a few MB keeps several tasks instead of collapsing into one.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(256 << 10),
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join partition even when that adds a shuffle after the join:
     # a join output hash-partitioned by a hot key would otherwise feed a whole
@@ -91,6 +94,9 @@ def sizing_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        # coalesce towards the advisory size (with the default "parallelism first"
+        # AQE ignores it and only merges partitions below the minimum size)
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
     }
