@@ -164,3 +164,46 @@ def test_language_kpis_match_brute_force(spark, data):
         churn = sum(r[1] is False and inside(r[4]) and r[2] is False for r in mine)
         assert (got_s[code]["total"], got_s[code]["new"], got_s[code]["churn"], got_s[code]["net"]) == \
             (subscriber, new, churn, new - churn)
+
+
+random_posts = st.lists(st.tuples(
+    st.sampled_from(["published", "draft", None]),
+    st.lists(st.sampled_from(["newsletters", "other", None]), max_size=2),
+    st.sampled_from(["label:english", "label:korean", "label:english,label:korean", "label:other", None]),
+    _ts(),
+    st.integers(0, 50), st.integers(0, 50), st.integers(0, 50), st.integers(0, 50),
+), min_size=1, max_size=25)
+
+
+@SETTINGS
+@given(data=random_posts)
+def test_newsletters_match_brute_force(spark, data):
+    """OP8/OP9 against a direct computation: local (UTC+9) date window [2024-01-08, 2024-01-15)."""
+    from decimal import ROUND_HALF_EVEN, Decimal
+
+    from memberpulse.operators import newsletters as nl
+    recs = [(f"p{i}", status, ts_, seg, [{"slug": t} for t in tags],
+             {"email_count": sent, "opened_count": opened, "delivered_count": delivered}, {"clicks": clicks})
+            for i, (status, tags, seg, ts_, sent, opened, delivered, clicks) in enumerate(data)]
+    df = spark.createDataFrame(recs, schemas.NEWSLETTERS)   # title, status, published_at, segment, tags, ..
+    got = sorted((r["title"], r["lang_code"], r["date"], r["open_rate"], r["click_rate"], r["delivery_rate"])
+                 for r in rows(nl.newsletter_stats(nl.weekly_newsletters(df, "2024-01-15"))))
+
+    def ratio(a, b):
+        if b == 0:
+            return None
+        return float((Decimal(a) / Decimal(b)).quantize(Decimal("0.001"), rounding=ROUND_HALF_EVEN))
+
+    want = []
+    for title, status, ts_, seg, tags, email, count in recs:
+        local = None if ts_ is None else ts_ + dt.timedelta(hours=9)
+        if status != "published" or "newsletters" not in [t["slug"] for t in tags] or local is None:
+            continue
+        if not (dt.date(2024, 1, 8) <= local.date() < dt.date(2024, 1, 15)):
+            continue
+        for code, slug in (("en", "english"), ("ko", "korean")):
+            if seg is not None and slug in seg:
+                want.append((title, code, local.date(), ratio(email["opened_count"], email["delivered_count"]),
+                             ratio(count["clicks"], email["delivered_count"]),
+                             ratio(email["delivered_count"], email["email_count"])))
+    assert got == sorted(want)
