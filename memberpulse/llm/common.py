@@ -62,16 +62,24 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20) -> Iter
         lo = hi
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit polynomial hash of each byte range ``[start, end)`` of ``data`` (ranges not empty, in order)."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 20) -> np.ndarray:
+    """64-bit polynomial hash of each byte range ``[start, end)`` of ``data`` (ranges not empty).
+
+    Works through about ``block`` bytes at a time, so the temporary arrays stay small.
+    """
     lengths = ends - starts
-    first = np.cumsum(lengths) - lengths
-    total = int(lengths.sum())
-    within = np.arange(total) - np.repeat(first, lengths)
-    power = np.cumprod(np.full(int(lengths.max(initial=0)) + 1, 0x9E3779B97F4A7C15 | 1, dtype=np.uint64))
-    values = (data[within + np.repeat(starts, lengths)].astype(np.uint64) + np.uint64(1)) * power[within]
-    h = np.add.reduceat(values, first) if total else np.zeros(0, np.uint64)
-    return mix(h ^ (lengths.astype(np.uint64) << np.uint64(56)))
+    out = np.empty(len(starts), np.uint64)
+    upto = np.cumsum(lengths)
+    lo = 0
+    while lo < len(starts):
+        hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + block, side="right")))
+        part, first = lengths[lo:hi], upto[lo:hi] - lengths[lo:hi]
+        within = np.arange(first[0], upto[hi - 1]) - np.repeat(first, part)
+        power = np.cumprod(np.full(int(part.max()) + 1, 0x9E3779B97F4A7C15, np.uint64))
+        values = (data[within + np.repeat(starts[lo:hi], part)].astype(np.uint64) + np.uint64(1)) * power[within]
+        out[lo:hi] = np.add.reduceat(values, first - first[0])
+        lo = hi
+    return mix(out ^ (lengths.astype(np.uint64) << np.uint64(56)))
 
 
 def mix(h: np.ndarray) -> np.ndarray:
