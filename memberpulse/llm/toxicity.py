@@ -73,8 +73,9 @@ def fit_nnpu(doc: np.ndarray, bucket: np.ndarray, n: int, positive: np.ndarray,
     standard errors.
     """
     size = 1 << FEATURE_BITS
-    pair = np.unique(doc << FEATURE_BITS | bucket)
+    pair = np.unique(doc.astype(np.int64) << FEATURE_BITS | bucket)
     d, b = pair >> FEATURE_BITS, pair & (size - 1)
+    del pair
     n_pos, n_un = int(positive.sum()), int(unlabelled.sum())
     in_pos, in_un = np.bincount(b[positive[d]], minlength=size), np.bincount(b[unlabelled[d]], minlength=size)
     pooled = (in_pos + in_un) / (n_pos + n_un)
@@ -110,7 +111,7 @@ def _about(ids: DataFrame, bound: int) -> DataFrame:
     return ids.where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) < int(share * (1 << 30)))
 
 
-def train(docs: DataFrame, labels: DataFrame, fold: Column, positives: int = 8000, unlabelled: int = 16000,
+def train(docs: DataFrame, labels: DataFrame, fold: Column, positives: int = 3000, unlabelled: int = 8000,
           id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **fit) -> Model | None:
     """Fit on about ``positives`` confirmed toxic and ``unlabelled`` other documents (the documented bounds).
 
@@ -138,8 +139,9 @@ def train(docs: DataFrame, labels: DataFrame, fold: Column, positives: int = 800
     pos, un = (np.asarray(table.column(c)).astype(bool) for c in ("pos", "un"))
     if not pos.any() or not un.any():
         return None
-    return fit_nnpu(np.repeat(np.arange(len(counts)), counts), np.asarray(lists.flatten()).astype(np.int64),
-                    len(counts), pos, un, prior, **fit)
+    doc, bucket = np.repeat(np.arange(len(counts), dtype=np.int32), counts), np.asarray(lists.flatten())
+    del table, lists
+    return fit_nnpu(doc, bucket, len(counts), pos, un, prior, **fit)
 
 
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
