@@ -58,16 +58,15 @@ def record(kind: str, headers: dict[str, str], block: bytes) -> bytes:
     return pack.compress(plain) + pack.flush()
 
 
-def page_record(page_id: int | None, url: str | None, payload: bytes, sha1: str, size: int, refers_to: int | None,
-                date: str) -> bytes:
-    """The response record of a page, or its revisit record if it refers to another page (no payload then)."""
-    target = quote(url or "", safe="!#$%&'()*+,/:;=?@[]~-._")
-    headers = {"WARC-Record-ID": record_id(page_id, target, sha1), "WARC-Date": date, "WARC-Target-URI": target,
-               "WARC-Payload-Digest": "sha1:" + base64.b32encode(bytes.fromhex(sha1)).decode(),
+def page_record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, date: str) -> bytes:
+    """The response record of a page, or its revisit record (without payload) if it refers to another page."""
+    target, digest = quote(url or "", safe="!#$%&'()*+,/:;=?@[]~-._"), _digest(payload)
+    headers = {"WARC-Record-ID": record_id(page_id, target, digest), "WARC-Date": date, "WARC-Target-URI": target,
+               "WARC-Payload-Digest": digest,
                "Content-Type": "application/http; msgtype=response"}
     if page_id is not None:
         headers["WARC-Page-ID"] = str(page_id)
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     if refers_to is None:
         return record("response", headers, http + payload)
     headers |= {"WARC-Profile": PROFILE, "WARC-Refers-To-Page-ID": str(refers_to)}
@@ -97,24 +96,26 @@ def parse_records(read) -> Iterator[tuple[dict[str, str], bytes]]:
 
 # --- writer ---------------------------------------------------------------------------------
 
-def with_revisits(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """``(id, url, payload, sha1, size, refers_to)``; the payload of a revisit is NULL.
+def page_rows(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
+    """``(id, url, payload, size, same)``; ``same`` is the SHA-256 of payloads that are large enough to be revisited."""
+    payload = F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8")
+    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("payload"))
+    size = F.octet_length("payload").cast("long")
+    return rows.select("*", size.alias("size"), F.when(size >= REVISIT_BYTES, F.sha2("payload", 256)).alias("same"))
+
 
-    Payloads are told apart by SHA-256.  The largest id of a group is combined map-side;
-    the join back is salted, so a payload that a third of all pages share is no hot key.
+def revisits(rows: DataFrame) -> DataFrame:
+    """``(id, same, refers_to)`` of the pages whose payload another page with a larger id holds.
+
+    Works on ids and digests only.  The largest id of a group is combined map-side; the
+    join back is salted, so a payload that a third of all pages share is no hot key.
     """
-    payload = F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8")
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("payload")).select(
-        "*", F.octet_length("payload").cast("long").alias("size"))
-    large = rows.where(F.col("size") >= REVISIT_BYTES).select("id", F.sha2("payload", 256).alias("same"))
-    groups = large.groupBy("same").agg(F.max("id").alias("kept"), F.count("*").alias("n")).where("n > 1 AND kept IS NOT NULL")
+    light = rows.where("same IS NOT NULL").select("id", "same")
+    groups = light.groupBy("same").agg(F.max("id").alias("kept"), F.count("*").alias("n")).where("n > 1 AND kept IS NOT NULL")
     groups = groups.select("same", "kept", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    rows = rows.select("*", F.when(F.col("size") >= REVISIT_BYTES, F.sha2("payload", 256)).alias("same"),
-                       F.pmod(F.xxhash64("id", "url"), F.lit(SALTS)).cast("int").alias("salt"))
-    joined = rows.join(groups, ["same", "salt"], "left")
-    refers = F.when(F.col("kept").isNotNull() & ~F.col("kept").eqNullSafe(F.col("id")), F.col("kept"))
-    return joined.select("id", "url", "size", F.sha1("payload").alias("sha1"), refers.alias("refers_to"),
-                         F.when(refers.isNull(), F.col("payload")).alias("payload"))
+    light = light.select("*", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt"))
+    found = light.join(groups, ["same", "salt"]).where(~F.col("id").eqNullSafe(F.col("kept")))
+    return found.select("id", "same", F.col("kept").alias("refers_to")).distinct()
 
 
 def shard_bounds(rows: DataFrame, shard_bytes: int, ws: Workspace) -> list[int]:
@@ -138,7 +139,7 @@ def _writer(root: str, roll_bytes: int, date: str):
         store, base = _open(root)
         attempt = f"{TaskContext.get().taskAttemptId()}-{uuid.uuid4().hex[:8]}"
         store.create_dir(f"{base}/_temporary", recursive=True)
-        done, state = [], None
+        done, state, mark = [], None, None
 
         def close() -> None:
             state["out"].close()
@@ -151,6 +152,10 @@ def _writer(root: str, roll_bytes: int, date: str):
             state["records"] += records
 
         for row in (row for batch in batches for part in slices(batch, "payload") for row in part.to_pylist()):
+            if row["refers_to"] is not None:             # sorted before the page rows that it is about
+                mark = row
+                continue
+            other = mark["refers_to"] if mark and (mark["id"], mark["same"]) == (row["id"], row["same"]) else None
             if state is None or row["shard"] != state["shard"] or state["bytes"] >= roll_bytes:
                 number = state["file"] + 1 if state and row["shard"] == state["shard"] else 0
                 if state:
@@ -162,7 +167,7 @@ def _writer(root: str, roll_bytes: int, date: str):
                 info = {"WARC-Record-ID": record_id(None, name, ""), "WARC-Date": date, "WARC-Filename": name,
                         "Content-Type": "application/warc-fields"}
                 put(record("warcinfo", info, b"format: WARC File Format 1.1\r\n"), 0)
-            put(page_record(row["id"], row["url"], row["payload"] or b"", row["sha1"], row["size"], row["refers_to"], date), 1)
+            put(page_record(row["id"], row["url"], row["payload"], other, date), 1)
         if state:
             close()
         yield from _manifest(done)
@@ -207,20 +212,24 @@ def write_warc(pages: DataFrame, root: str, shard_bytes: int = 1 << 30, roll_byt
     """
     spark = pages.sparkSession
     ws = Workspace(spark)
-    rows = ws.stage("records", with_revisits(pages, id_col, url_col, html_col))
-    bounds = np.array(shard_bounds(rows, shard_bytes, ws), dtype=np.int64)
+    rows = page_rows(pages, id_col, url_col, html_col)
+    bounds = np.array(shard_bounds(rows.select("id", "size"), shard_bytes, ws), dtype=np.int64)
 
     @F.pandas_udf("int")
     def shard_of(ids: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(bounds, ids.to_numpy(), side="right").astype(np.int32))
 
     shard = F.when(F.col("id").isNull(), 0).otherwise(shard_of(F.coalesce(F.col("id"), F.lit(0)).cast("bigint")))
-    placed = rows.withColumn("shard", shard).repartition(len(bounds) + 1, "shard").sortWithinPartitions(
-        "shard", "id", "url", "sha1", "refers_to")
+    nothing = rows.select("id", "url", "same", "payload").limit(0)
+    marks = nothing.unionByName(revisits(rows), allowMissingColumns=True)
+    # pages and the marks of revisits meet in their shard: one shuffle of the payloads
+    both = rows.select("id", "url", "same", "payload").unionByName(marks, allowMissingColumns=True).withColumn("shard", shard)
+    placed = both.repartitionById(len(bounds) + 1, F.col("shard")).sortWithinPartitions(
+        "shard", "id", "same", F.col("refers_to").isNull(), "url")
     written = ws.stage("written", placed.mapInArrow(_writer(root, roll_bytes, date), MANIFEST))
-    written.repartition(len(bounds) + 1, "path").mapInArrow(_commit(root), MANIFEST).write.parquet(f"{root}/manifest")
+    written.repartition(len(bounds) + 1).mapInArrow(_commit(root), MANIFEST).write.parquet(f"{root}/manifest")
     remove(spark, f"{root}/_temporary")
-    ws.drop("records", "sizes", "written")
+    ws.drop("sizes", "written")
     return spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
 
 
@@ -263,6 +272,7 @@ def read_warc(spark: SparkSession, root: str, with_payload: bool = True) -> Data
     bytes and digest (hex) are of the full payload, for revisits too; ``url`` is
     percent-encoded; a revisit's ``payload`` is NULL.  A damaged or missing file fails.
     """
-    files = spark.read.schema(MANIFEST).parquet(f"{root}/manifest").select("path").repartition("path")
+    files = spark.read.schema(MANIFEST).parquet(f"{root}/manifest").select("path")
+    files = files.repartition(max(1, files.count()))
     return files.mapInArrow(_reader(root, with_payload), "page_id bigint, url string, payload_bytes bigint, "
                             "payload_digest string, record_type string, refers_to bigint, payload binary")
