@@ -111,7 +111,7 @@ def _about(ids: DataFrame, bound: int) -> DataFrame:
     return ids.where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) < int(share * (1 << 30)))
 
 
-def train(docs: DataFrame, labels: DataFrame, fold: Column, positives: int = 3000, unlabelled: int = 8000,
+def train(docs: DataFrame, labels: DataFrame, fold: Column, positives: int = 2000, unlabelled: int = 5000,
           id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **fit) -> Model | None:
     """Fit on about ``positives`` confirmed toxic and ``unlabelled`` other documents (the documented bounds).
 
