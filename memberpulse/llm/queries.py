@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from memberpulse.llm import (decontaminate, language_id, license_scan, line_dedup, packing, quality_cascade, simhash,
+from memberpulse.llm import (decontaminate, language_id, license_scan, line_dedup, oracle, packing, quality_cascade, simhash,
                              substring_dedup, toxicity, warc)
 from memberpulse.llm.common import Workspace
 
@@ -90,4 +90,9 @@ QUERIES: dict[str, Query] = {
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_quality_rules": oracle.QUALITY,
+    "op5_line_dedup": oracle.LINES,
+    "op8_warc": oracle.WARC,
+    "op9_decontamination": oracle.DECONTAMINATION,
+}

@@ -259,7 +259,9 @@ def _links_of_buckets(radius: int, has_side: bool):
 
 
 def near_links(fps: DataFrame, radius: int, ws: Workspace, blocks: int | None = None, cell: int = CELL) -> DataFrame:
-    """Spanning links ``(a, b)`` of all pairs of distinct fingerprints ``fp`` within ``radius`` bits.
+    """Links ``(a, b)`` that join the same components as all pairs of distinct ``fp`` within ``radius`` bits.
+
+    A task emits a star for each component that it finds, at most one link per fingerprint.
 
     ``blocks`` defaults to the smallest number that gives as many bucket keys as
     fingerprints, so that buckets of spread fingerprints stay small at any input size.
