@@ -1,7 +1,7 @@
 """Command line for the three jobs; suitable for ``spark-submit``.
 
     python -m memberpulse service-report --memberships ROOT --app-events T --web-events T \\
-        --out DIR --as-of 2024-01-22
+        --out DIR --as-of 2024-01-22 --active "event_name = 'click'"
     python -m memberpulse newsletter-kpis --member-pages DIR --post-pages DIR --kpi-root DIR \\
         --archive-root DIR --as-of 2024-01-22
     python -m memberpulse member-upkeep --member-pages DIR --registry T --out DIR \\
@@ -17,9 +17,11 @@ from __future__ import annotations
 import argparse
 import json
 
+from pyspark.sql import functions as F
+
 from memberpulse.functions.temporal import DEFAULT_TZ
 from memberpulse.plans import jobs
-from memberpulse.session import get_session
+from memberpulse.session import get_session, sizing_conf
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -32,6 +34,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--web-events", required=True)
     s.add_argument("--out", required=True)
     s.add_argument("--as-of", required=True, help="run date, local calendar (YYYY-MM-DD)")
+    s.add_argument("--active", required=True, help="SQL condition over web events that counts as active use")
     s.add_argument("--null-period", choices=("epoch", "drop"), default="epoch")
 
     n = sub.add_parser("newsletter-kpis", help="member, subscriber and newsletter KPIs per language")
@@ -54,16 +57,17 @@ def _parser() -> argparse.ArgumentParser:
 
     for sp in (s, n, m):
         sp.add_argument("--tz", default=DEFAULT_TZ)
+        sp.add_argument("--input-bytes", type=int, default=0, help="size of the input: sizes scan splits and shuffles")
         sp.add_argument("--master", default=None, help="only outside spark-submit, e.g. local[8]")
     return p
 
 
 def main(argv: list[str] | None = None) -> dict:
     args = _parser().parse_args(argv)
-    spark = get_session(args.master)
+    spark = get_session(args.master, conf=sizing_conf(args.input_bytes) if args.input_bytes else None)
     if args.job == "service-report":
         out = jobs.run_service_report(spark, args.memberships, args.app_events, args.web_events, args.out,
-                                      args.as_of, args.tz, null_period=args.null_period)
+                                      args.as_of, F.expr(args.active), args.tz, args.null_period)
     elif args.job == "newsletter-kpis":
         out = jobs.run_newsletter_kpis(spark, args.member_pages, args.post_pages, args.kpi_root,
                                        args.archive_root, args.as_of, args.tz)

@@ -32,8 +32,10 @@ EPOCH = _dt.date(1970, 1, 1)          # where a pandas fillna(0) puts a missing
 MEMBER_WINDOW_HOUR = 10               # member windows open at 10:00 local (FLT6)
 WINDOW_DAYS = 7
 
-# A zone designator after a time of day: "...T10:00:00Z", "... 10:00+09:00", "...-0500".
-_ZONED = r"^\S+[T ]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*([Zz]|[+-]\d{2}(:?\d{2})?)$"
+# A zone after a time of day: "...T10:00:00Z", "... 10:00+09:00", "...-0500", "... 10:00 Asia/Seoul".
+_ZONED = r"^\S+[T ]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*([A-Za-z][A-Za-z0-9_+/-]*|[+-]\d{2}(:?\d{2})?)$"
+# Further layouts of naive text, tried in this order.
+_LAYOUTS = ("yyyy/M/d H:mm:ss", "yyyy/M/d H:mm", "yyyy/M/d", "d-MMM-yyyy H:mm", "d-MMM-yyyy", "yyyyMMdd")
 
 
 _UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00", "Zulu"}
@@ -65,12 +67,15 @@ def instant_to_wall(instant: Column) -> Column:
 def lenient_timestamp(col: Column) -> Column:
     """FN1: text -> UTC wall-clock timestamp; unparsable or NULL -> NULL.
 
-    Text with a zone designator is read as that instant; naive text is taken
-    to be UTC, as ``pd.to_datetime(.., utc=True)`` does.
+    Text with a zone (offset or region name) is read as that instant, an unknown zone is
+    unparsable; naive text is taken to be UTC, as ``pd.to_datetime(.., utc=True)`` does.
     """
     s = F.trim(col)
     as_instant = instant_to_wall(s.try_cast("timestamp"))
-    return F.when(s.rlike(_ZONED), as_instant).otherwise(s.try_cast("timestamp_ntz"))
+    eight = s.rlike(r"^\d{8}$")                       # a bare number is a date here, not a year
+    layouts = [F.try_to_timestamp(s, F.lit(x)).cast("timestamp_ntz") for x in _LAYOUTS]
+    naive = F.coalesce(F.when(~eight, s.try_cast("timestamp_ntz")), *layouts)
+    return F.when(s.rlike(_ZONED), as_instant).otherwise(naive)
 
 
 def utc_wall(df: DataFrame, name: str) -> Column:

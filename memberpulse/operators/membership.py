@@ -35,14 +35,14 @@ WEEK = "week_start_date"
 MONTH = "year_month_date"
 
 
-def cents(name: str) -> Column:
-    """Money as whole cents (T8): exact, order-independent sums at the speed of a
-    long sum (a ``decimal(18,2)`` sum widens to an object-backed decimal(28,2))."""
-    return F.round(F.col(name) * 100).cast("bigint")
+def money(name: str) -> Column:
+    """Money as a wide decimal (T8): sums are exact and order-independent, nothing is rounded; NaN is NULL."""
+    amount = F.col(name).cast("double")
+    return F.when(~F.isnan(amount), amount).cast("decimal(28,8)")
 
 
-def from_cents(col: Column) -> Column:
-    return col.cast("double") / 100
+def from_money(col: Column) -> Column:
+    return col.cast("double")
 
 REPORT_COLUMNS = ("signup_count", "cumsum_signup_count", "first_paid_count", "active_paid_users",
                   "churn_count", "cumsum_active_paid", "paid_signup", "free_signup",
@@ -107,8 +107,8 @@ def member_report(df: DataFrame, period_col: str = WEEK, tz: str = DEFAULT_TZ,
                   & F.col("churn_date").isNull()).alias("active_paid"),
         F.bool_or(known & F.coalesce(st == FIRST_PAID, F.lit(False))
                   & _same_local_day("signup_date", "payment_date", tz)).alias("paid_signup"),
-        F.sum(cents("amount")).alias("payment"),
-        F.sum(cents("refund")).alias("refund"),
+        F.sum(money("amount")).alias("payment"),
+        F.sum(money("refund")).alias("refund"),
     )
     first_seen = F.col("first_row") == F.min("first_row").over(Window.partitionBy("identity"))
     per_period = per_identity.withColumn("is_first", first_seen).groupBy(period_col).agg(
@@ -158,9 +158,9 @@ def _finish_report(per_period: DataFrame, period_col: str) -> DataFrame:
         zero_ratio("first_paid_count", "signup_count", 4).alias("signup_to_paid"),
         zero_ratio("cumsum_active_paid",
                    F.col("cumsum_signup_count") - F.col("cumsum_active_paid"), 4).alias("free_to_paid"),
-        from_cents(F.col("payment")).alias("payment"),
-        from_cents(F.col("refund")).alias("refund"),
-        from_cents(F.col("payment") - F.col("refund")).alias("weekly_revenue"),
+        from_money(F.col("payment")).alias("payment"),
+        from_money(F.col("refund")).alias("refund"),
+        from_money(F.col("payment") - F.col("refund")).alias("weekly_revenue"),
     )
 
 
@@ -224,9 +224,9 @@ def churn_and_active(df: DataFrame, period_col: str = WEEK) -> DataFrame:
 def revenue(df: DataFrame, period_col: str = WEEK) -> DataFrame:
     """AGG6: payment and refund sums per period (all-NULL -> 0) and their difference."""
     sums = _with_period(df.groupBy(period_col).agg(
-        F.coalesce(F.sum(cents("amount")), F.lit(0).cast("bigint")).alias("p"),
-        F.coalesce(F.sum(cents("refund")), F.lit(0).cast("bigint")).alias("r"),
+        F.coalesce(F.sum(money("amount")), F.lit(0).cast("bigint")).alias("p"),
+        F.coalesce(F.sum(money("refund")), F.lit(0).cast("bigint")).alias("r"),
         F.count(period_col).alias("_n")))
-    return sums.select(period_col, from_cents(F.col("p")).alias("payment"),
-                       from_cents(F.col("r")).alias("refund"),
-                       from_cents(F.col("p") - F.col("r")).alias("weekly_revenue"))
+    return sums.select(period_col, from_money(F.col("p")).alias("payment"),
+                       from_money(F.col("r")).alias("refund"),
+                       from_money(F.col("p") - F.col("r")).alias("weekly_revenue"))

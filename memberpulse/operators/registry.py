@@ -20,7 +20,6 @@ from memberpulse.functions.temporal import truncate_now
 ACTIVE = "active"
 DELETED = "deleted"
 FAILED = "failed"
-REGISTRY_COLUMNS = ("email", "label", "note", "created_at", "updated_at", "status")
 
 
 def set_status(registry: DataFrame, keys: DataFrame, status: str, now) -> DataFrame:
@@ -31,10 +30,14 @@ def set_status(registry: DataFrame, keys: DataFrame, status: str, now) -> DataFr
     hits = keys.select("email").distinct().withColumn("_hit", F.lit(True))
     j = registry.join(hits, "email", "left")
     hit = F.coalesce(F.col("_hit"), F.lit(False))
-    return j.select(
-        "email", "label", "note", "created_at",
-        F.when(hit, truncate_now(now)).otherwise(F.col("updated_at")).alias("updated_at"),
-        F.when(hit, F.lit(status)).otherwise(F.col("status")).alias("status"))
+    changed = {"updated_at": F.when(hit, truncate_now(now)).otherwise(F.col("updated_at")),
+               "status": F.when(hit, F.lit(status)).otherwise(F.col("status"))}
+    return j.select(*[changed.get(c, F.col(c)).alias(c) for c in registry.columns])
+
+
+def _next(registry: DataFrame, columns: dict) -> list:
+    """All columns of the registry: those given, the others as they were (NULL for inserts)."""
+    return [columns.get(c, F.col(f"t.{c}")).alias(c) for c in registry.columns]
 
 
 def members_flat(members: DataFrame) -> DataFrame:
@@ -79,13 +82,11 @@ def upsert(registry: DataFrame, source: DataFrame, now) -> DataFrame:
     j = t.join(s, F.col("t.email") == F.col("s.email"), "full")
     in_t = F.coalesce(F.col("t._t"), F.lit(False))
     in_s = F.coalesce(F.col("s._s"), F.lit(False))
-    return j.select(
-        F.when(in_t, F.col("t.email")).otherwise(F.col("s.email")).alias("email"),
-        F.when(in_t, F.col("t.label")).otherwise(F.col("s.label")).alias("label"),
-        F.when(in_t, F.col("t.note")).otherwise(F.col("s.note")).alias("note"),
-        F.when(in_t, F.col("t.created_at")).otherwise(ts).alias("created_at"),
-        F.when(in_s, ts).otherwise(F.col("t.updated_at")).alias("updated_at"),
-        F.when(in_s, F.lit(ACTIVE)).otherwise(F.col("t.status")).alias("status"))
+    columns = {c: F.when(in_t, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}")) for c in ("email", "label", "note")}
+    columns |= {"created_at": F.when(in_t, F.col("t.created_at")).otherwise(ts),
+                "updated_at": F.when(in_s, ts).otherwise(F.col("t.updated_at")),
+                "status": F.when(in_s, F.lit(ACTIVE)).otherwise(F.col("t.status"))}
+    return j.select(*_next(registry, columns))
 
 
 def sync(registry: DataFrame, members: DataFrame, now) -> DataFrame:
@@ -115,15 +116,12 @@ def sync(registry: DataFrame, members: DataFrame, now) -> DataFrame:
     in_s = F.coalesce(F.col("s._s"), F.lit(False))
     was_active = in_t & (F.col("t.status") == ACTIVE)
     upserted = in_s & ~was_active
-    deleted = in_t & ~in_s & (F.col("t.status") == ACTIVE)
+    deleted = was_active & ~in_s & F.col("t.email").isNotNull()      # a NULL email is in no list of missing ones
     email = F.when(in_t, F.col("t.email")).otherwise(F.col("s.email"))
     checked = F.when(upserted & (F.col("s._n") > 1), F.raise_error(
         F.concat(F.lit("member dump repeats email "), F.col("s.email")))).otherwise(email)
-    return j.select(
-        checked.alias("email"),
-        F.when(in_t, F.col("t.label")).otherwise(F.col("s.label")).alias("label"),
-        F.when(in_t, F.col("t.note")).otherwise(F.col("s.note")).alias("note"),
-        F.when(in_t, F.col("t.created_at")).otherwise(ts).alias("created_at"),
-        F.when(upserted | deleted, ts).otherwise(F.col("t.updated_at")).alias("updated_at"),
-        F.when(upserted, F.lit(ACTIVE)).when(deleted, F.lit(DELETED))
-        .otherwise(F.col("t.status")).alias("status"))
+    columns = {c: F.when(in_t, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}")) for c in ("label", "note")}
+    columns |= {"email": checked, "created_at": F.when(in_t, F.col("t.created_at")).otherwise(ts),
+                "updated_at": F.when(upserted | deleted, ts).otherwise(F.col("t.updated_at")),
+                "status": F.when(upserted, F.lit(ACTIVE)).when(deleted, F.lit(DELETED)).otherwise(F.col("t.status"))}
+    return j.select(*_next(registry, columns))

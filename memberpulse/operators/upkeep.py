@@ -11,14 +11,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from memberpulse.functions.predicates import has_label_other_than, inactive_member
-from memberpulse.session import shared_dir
 
 # Fixed value: the registry status of rows waiting for an invite.
 PENDING = "pending"
-
-# Largest n for which one task may keep the top n rows (TakeOrderedAndProject);
-# above it the exact distributed ranking of ``first_n_by_key`` is used.
-SINGLE_TASK_ROWS = 1_000_000
+# Buckets of the seeded order: the first so many hex digits of a row's hash.
+BUCKET_DIGITS = 4
 
 
 def inactive_members(members: DataFrame) -> DataFrame:
@@ -57,45 +54,34 @@ def invite_order(seed: str) -> Column:
     return F.md5(F.concat(F.col("email"), F.lit(str(seed))))
 
 
-def first_n_by_key(df: DataFrame, key: str, n: int) -> DataFrame:
-    """The ``n`` rows with the smallest ``key`` (unique), without a single-task merge.
+def first_n_by_hash(df: DataFrame, key: str, tie: str, n: int) -> DataFrame:
+    """The ``n`` rows with the smallest hex hash ``key`` (ties by ``tie``), at any size the same way.
 
-    Range-partition and sort by ``key``, write the result once to the shared
-    checkpoint folder (so counting and filtering see the same partitions and
-    lineage is cut), count rows per partition — one row per partition, a
-    bounded broadcast — turn the counts into offsets, and keep rows whose
-    global rank (offset + position in partition) is below ``n``.
+    Rows are counted per bucket of leading hash digits (at most 16 ** BUCKET_DIGITS rows,
+    a bounded broadcast); buckets wholly below the cut are taken unsorted, and only the
+    bucket that the cut goes through is ranked.
     """
-    shared_dir(df.sparkSession)          # the session's checkpoint folder (set only where unset)
-    ranked = (df.repartitionByRange(key).sortWithinPartitions(key)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
-              .checkpoint(eager=True))
-    sizes = ranked.groupBy("_pid").agg(F.count("*").alias("_rows"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_pid", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    return (ranked.join(F.broadcast(offsets), "_pid")
-            .where(F.col("_offset") + F.col("_pos") < n)
-            .drop("_pid", "_pos", "_offset"))
-
-
-def invite_batch(registry: DataFrame, n: int, seed: str, single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+    keyed = df.withColumn("_bucket", F.substring(key, 1, BUCKET_DIGITS))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = keyed.groupBy("_bucket").agg(F.count("*").alias("_rows")).select(
+        "_bucket", "_rows", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")).where(F.col("_before") < n)
+    near = keyed.join(F.broadcast(counts), "_bucket")
+    whole = F.col("_before") + F.col("_rows") <= n
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(key, tie))
+    cut = near.where(~whole).withColumn("_rank", rank).where(F.col("_before") + F.col("_rank") <= n)
+    return near.where(whole).select(*df.columns).union(cut.select(*df.columns))
+
+
+def invite_batch(registry: DataFrame, n: int, seed: str) -> DataFrame:
     """OP12: ``n`` pending registry rows in a seeded uniform random order, as invite payloads.
 
-    For ``n`` up to ``single_task_rows`` (the invite capacity is bounded by the
-    member limit) ``orderBy(..).limit(n)`` plans as ``TakeOrderedAndProject``:
-    every task keeps its own top ``n`` and only those meet in the last step.
-    Larger ``n`` use the exact distributed ranking of ``first_n_by_key``.
-    Payload: email, labels [{name: label, slug: lower(label)}], note ('' when
-    NULL) (PRJ7).
+    Rows of equal hash are taken by email.  Payload: email, labels [{name: label,
+    slug: lower(label)}], note ('' when NULL) (PRJ7).
     """
     if n < 0:
         raise ValueError("n must be >= 0")
     pending = registry.where(F.col("status") == PENDING).withColumn("_key", invite_order(seed))
-    if n <= single_task_rows:
-        picked = pending.orderBy("_key").limit(int(n))
-    else:
-        picked = first_n_by_key(pending, "_key", int(n))
+    picked = first_n_by_hash(pending, "_key", "email", int(n)).orderBy("_key", "email")
     return picked.select(
         "email",
         F.array(F.struct(F.col("label").alias("name"), F.lower("label").alias("slug"))).alias("labels"),

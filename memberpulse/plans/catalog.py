@@ -128,7 +128,8 @@ def registry_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry_mark_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    failed = _invites(spark, sf_dir).where(F.md5(F.col("email")).startswith("0")).select("email")
+    """Mark every registry email whose hash starts with 0: an outcome table over the whole registry."""
+    failed = fx.registry(spark, sf_dir).where(F.md5(F.col("email")).startswith("0")).select("email")
     return reg.set_status(fx.registry(spark, sf_dir), failed, reg.FAILED, fx.NOW)
 
 
@@ -186,8 +187,10 @@ def kpi_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_archive_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK3: archive the member dump as JSON under the run date, read it back."""
-    path = sk.archive_json(fx.members(spark, sf_dir), shared_dir(spark), fx.AS_OF, "members.json")
+    """SNK3: archive the landed member dump as it is under the run date, read it back."""
+    root = shared_dir(spark)
+    fx.members(spark, sf_dir).withColumn("uuid", F.lit("kept")).write.json(f"{root}/landed")
+    path = sk.archive_raw(spark, f"{root}/landed", root, fx.AS_OF, "members.json")
     raw = spark.read.schema(schemas.as_text_timestamps(schemas.MEMBERS)).json(path)
     return _flat_members(raw.withColumns({c: rd.lenient_timestamp(F.col(c))
                                           for c in ("created_at", "last_seen_at")}))
@@ -196,9 +199,10 @@ def raw_archive_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def membership_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC1: land the memberships as the day's CSV, read it back with lenient dates."""
     root = shared_dir(spark)
-    (fx.memberships(spark, sf_dir).write.mode("overwrite").option("header", True)
+    rows = fx.memberships(spark, sf_dir)
+    (rows.select(*reversed(rows.columns)).write.mode("overwrite").option("header", True)   # header names decide, not places
      .csv(rd.membership_csv_path(root, fx.AS_OF)))
-    return rd.read_memberships_csv(spark, root, fx.AS_OF)
+    return rd.read_memberships_csv(spark, root, fx.AS_OF, identity_type="bigint")
 
 
 def member_pages_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,19 +16,22 @@ branches read it back column-pruned.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from memberpulse.functions.temporal import DEFAULT_TZ
 from memberpulse.operators import audience, engagement, membership, newsletters, registry, upkeep
-from memberpulse.session import shared_dir
+from memberpulse.session import remove_path, shared_dir
 from memberpulse.sources import readers, sinks
 
 
 def run_service_report(spark: SparkSession, memberships_root: str, app_events: str, ga_events: str,
-                       out_root: str, as_of, tz: str = DEFAULT_TZ, active: Column | None = None,
+                       out_root: str, as_of, active: Column, tz: str = DEFAULT_TZ,
                        null_period: str = "epoch") -> dict[str, str]:
-    """Extract -> normalise -> weekly/monthly report -> engagement -> overwrite both tables."""
+    """Extract -> normalise -> weekly/monthly report -> engagement -> overwrite both tables.
+
+    ``active``: the rule by which a web event counts as active use (D4); there is no default.
+    The staged memberships are removed at the end.
+    """
     stage = f"{shared_dir(spark)}/membership_periods"
     periods = membership.with_periods(readers.read_memberships_csv(spark, memberships_root, as_of), tz)
     periods.write.mode("overwrite").parquet(stage)
@@ -43,6 +46,7 @@ def run_service_report(spark: SparkSession, memberships_root: str, app_events: s
         path = f"{out_root.rstrip('/')}/{name}"
         sinks.overwrite_report(engagement.with_engagement(report, users, period, null_period), path)
         written[name] = path
+    remove_path(spark, stage)
     return written
 
 
@@ -57,12 +61,14 @@ NEWSLETTER_STATS = ("date date, sent bigint, opened bigint, clicked bigint, deli
 def run_newsletter_kpis(spark: SparkSession, member_pages: str, post_pages: str, kpi_root: str,
                         archive_root: str, as_of, tz: str = DEFAULT_TZ) -> dict[str, str]:
     """Archive the raw dumps, write three KPI tables into their run-date partitions."""
-    members = readers.read_member_pages(spark, member_pages).persist(StorageLevel.MEMORY_AND_DISK)
+    stage = f"{shared_dir(spark)}/members"
+    readers.read_member_pages(spark, member_pages).write.parquet(stage)
+    members = spark.read.parquet(stage)
     try:
         posts = newsletters.weekly_newsletters(readers.read_post_pages(spark, post_pages), as_of, tz)
         written = {
-            "members.json": sinks.archive_json(members, archive_root, as_of, "members.json"),
-            "newsletters.json": sinks.archive_json(posts, archive_root, as_of, "newsletters.json"),
+            "members.json": sinks.archive_raw(spark, member_pages, archive_root, as_of, "members.json"),
+            "newsletters.json": sinks.archive_raw(spark, post_pages, archive_root, as_of, "newsletters.json"),
         }
         outputs = (
             ("blog_member_statistics", audience.member_stats(members, as_of, tz), MEMBER_STATS),
@@ -75,7 +81,7 @@ def run_newsletter_kpis(spark: SparkSession, member_pages: str, post_pages: str,
             written[name] = path
         return written
     finally:
-        members.unpersist()
+        remove_path(spark, stage)
 
 
 def plan_deletions(members: DataFrame) -> DataFrame:
@@ -104,9 +110,11 @@ def run_member_upkeep(spark: SparkSession, members_path: str, registry_path: str
     (emails whose invite failed) it writes the next registry snapshot with
     those rows 'failed'.  With ``fresh_members_path`` (the dump re-read after
     deletions and invites) it syncs that snapshot against it.  Snapshots go
-    to new paths; the input registry is never overwritten.
+    to paths keyed by ``now``, which a retry of the run replaces; the input registry is
+    never overwritten.
     """
     out = out_root.rstrip("/")
+    run = "run=" + "".join(c for c in str(now) if c.isdigit())
     members = readers.read_member_pages(spark, members_path)
     reg = readers.read_table(spark, registry_path)
     written = {"deletion_candidates": f"{out}/deletion_candidates"}
@@ -117,11 +125,11 @@ def run_member_upkeep(spark: SparkSession, members_path: str, registry_path: str
         sinks.overwrite_report(plan_invites(members, deleted, reg, member_limit, seed), written["invites"])
     if failed_path:
         failed = readers.read_table(spark, failed_path)
-        written["registry_failed"] = f"{out}/registry_v1"
-        sinks.write_snapshot(registry.set_status(reg, failed, registry.FAILED, now), written["registry_failed"])
+        written["registry_failed"] = f"{out}/registry_v1/{run}"
+        sinks.write_snapshot(registry.set_status(reg, failed, registry.FAILED, now), written["registry_failed"], replace=True)
         reg = spark.read.parquet(written["registry_failed"])
     if fresh_members_path:
         fresh = readers.read_member_pages(spark, fresh_members_path)
-        written["registry_synced"] = f"{out}/registry_v2"
-        sinks.write_snapshot(registry.sync(reg, fresh, now), written["registry_synced"])
+        written["registry_synced"] = f"{out}/registry_v2/{run}"
+        sinks.write_snapshot(registry.sync(reg, fresh, now), written["registry_synced"], replace=True)
     return written

@@ -18,9 +18,6 @@ DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Coalesce small shuffles to >= 256 KiB per reducer (default 1 MiB): a CPU-heavy stage
-    # over a few MB keeps several tasks instead of collapsing into one.
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(256 << 10),
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join partition even when that adds a shuffle after the join:
     # a join output hash-partitioned by a hot key would otherwise feed a whole
@@ -46,6 +43,9 @@ def get_session(master: str | None = None, app_name: str = "memberpulse",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if master and master.startswith("local"):
+        # small inputs on one machine: a stage over a few MB keeps several tasks
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", str(256 << 10))
     settings = dict(DEFAULT_CONF)
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -69,27 +69,34 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="memberpulse-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
     return os.path.join(root, "memberpulse", uuid.uuid4().hex)
 
 
-def sizing_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
-                max_shuffle_partitions: int = 100_000) -> dict[str, str]:
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder in whatever store Spark reaches it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def sizing_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Partition sizing for an input of ``input_bytes`` (pass to ``get_session(conf=...)``).
 
     * scan splits of ``target_partition_bytes`` (columnar input decoded to a few
       times its size still fits an executor core's memory share);
-    * initial shuffle partitions = input / target (floored at 200, capped), which
+    * initial shuffle partitions = input / target (floored at 200), which
       AQE then coalesces to ``target_partition_bytes`` per reducer — the
       aggregates here combine map-side, so shuffles are usually far smaller;
     * skew handling triggers for partitions over twice the target.
 
-    At 100 TB this gives ~400k scan tasks and starts shuffles at the cap
-    (100k partitions), coalesced at run time.
+    At 100 TB this gives ~400k scan tasks and as many initial shuffle partitions,
+    coalesced at run time.
     """
-    shuffle = max(200, min(max_shuffle_partitions, -(-input_bytes // target_partition_bytes)))
+    shuffle = max(200, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(shuffle),

@@ -24,36 +24,59 @@ def membership_csv_path(root: str, as_of) -> str:
     return f"{root.rstrip('/')}/all_members_{as_of}.csv"
 
 
-def read_memberships_csv(spark: SparkSession, root: str, as_of) -> DataFrame:
-    """SRC1: the day's membership CSV (header row); a missing file fails the read.
-
-    ``*_date`` columns are parsed leniently (FN1): malformed text -> NULL.  The
-    file must carry ``row_id`` (T1: "first row" means file order, which a
-    distributed read does not keep by itself).
+def read_memberships_csv(spark: SparkSession, root: str, as_of, identity_type: str = "string") -> DataFrame:
+    """SRC1: the day's membership CSV (header row); a missing file or column fails the read.
+
+    Columns are taken by header name, in any order; others are ignored.  ``*_date``
+    columns are parsed leniently (FN1): malformed text -> NULL, as malformed amounts are.
+    ``identity`` is text unless ``identity_type`` says otherwise.  Without a ``row_id``
+    column, rows of a single file (up to 64 GB) are numbered in file order (T1); several
+    files need one.
     """
-    df = (spark.read.schema(schemas.MEMBERSHIPS_CSV).option("header", True)
-          .option("mode", "PERMISSIVE").csv(membership_csv_path(root, as_of)))
-    return df.withColumns({c: lenient_timestamp(F.col(c)) for c in df.columns if c.endswith("_date")})
+    df = spark.read.option("header", True).option("mode", "FAILFAST").csv(membership_csv_path(root, as_of))
+    missing = [f.name for f in schemas.MEMBERSHIPS_CSV.fields if f.name not in df.columns and f.name != "row_id"]
+    if missing:
+        raise ValueError(f"membership CSV lacks columns {missing}")
+    if "row_id" in df.columns:
+        row_id = F.col("row_id").cast("bigint")
+    elif len(df.inputFiles()) > 1:
+        raise ValueError("a membership CSV of several files needs a row_id column")
+    else:  # byte offset of the split, then the row's place in its task
+        row_id = F.col("_metadata.file_block_start") * (1 << 27) + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    columns = {"row_id": row_id, "identity": F.col("identity").cast(identity_type), "payment_status": F.col("payment_status")}
+    for f in schemas.MEMBERSHIPS.fields:
+        if f.name not in columns:
+            columns[f.name] = (lenient_timestamp(F.col(f.name)) if f.name.endswith("_date") else F.col(f.name).try_cast("double"))
+    return df.select(*[c.alias(name) for name, c in columns.items()])
 
 
 def _parse_text_timestamps(df: DataFrame, target: T.StructType) -> DataFrame:
+    """Text timestamps of API records, parsed strictly: text that is no timestamp fails the read."""
     cols = []
     for f in target.fields:
+        col = F.col(f.name)
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            cols.append(lenient_timestamp(F.col(f.name)).alias(f.name))
-        else:
-            cols.append(F.col(f.name))
+            parsed = lenient_timestamp(col)
+            bad = F.raise_error(F.concat(F.lit(f"{f.name} is no timestamp: "), col))
+            col = F.when(col.isNotNull() & parsed.isNull(), bad).otherwise(parsed)
+        cols.append(col.alias(f.name))
     return df.select(*cols)
 
 
-def read_member_pages(spark: SparkSession, path: str) -> DataFrame:
+def _page_records(spark: SparkSession, path: str, schema, field: str, multi_line: bool) -> DataFrame:
+    """Records of landed pages; a damaged page, or one without ``field``, fails the read."""
+    pages = spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", multi_line).json(path)
+    return pages.select(F.inline(required(F.col(field), f"landed page without {field}")))
+
+
+def read_member_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """SRC2: landed member-dump pages, one JSON document ``{"members": [..]}`` per line.
 
-    Pages are read in parallel (one file or split per task) and unnested
-    with ``inline``; the empty last page contributes no rows.
+    ``multi_line``: one (pretty-printed) document per file.  Pages are read in parallel
+    and unnested with ``inline``; the empty last page contributes no rows.  Truncated
+    pages, error answers and malformed timestamps fail, so no member is lost silently.
     """
-    pages = spark.read.schema(schemas.MEMBER_PAGE).json(path)
-    members = _parse_text_timestamps(pages.select(F.inline("members")), schemas.MEMBERS)
+    members = _parse_text_timestamps(_page_records(spark, path, schemas.MEMBER_PAGE, "members", multi_line), schemas.MEMBERS)
     return members.withColumn("email", required(F.col("email"), "member record without email"))
 
 
@@ -63,10 +86,9 @@ def required(col, message: str):
     return F.when(col.isNull(), F.raise_error(F.lit(message))).otherwise(col)
 
 
-def read_post_pages(spark: SparkSession, path: str) -> DataFrame:
-    """SRC3: landed post dumps ``{"posts": [..]}``; the tag filter (FLT1) is applied by OP8."""
-    posts = spark.read.schema(schemas.POST_PAGE).json(path)
-    return _parse_text_timestamps(posts.select(F.inline("posts")), schemas.NEWSLETTERS)
+def read_post_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """SRC3: landed post dumps ``{"posts": [..]}``, strict like ``read_member_pages``; OP8 applies the tag filter (FLT1)."""
+    return _parse_text_timestamps(_page_records(spark, path, schemas.POST_PAGE, "posts", multi_line), schemas.NEWSLETTERS)
 
 
 def read_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFrame:

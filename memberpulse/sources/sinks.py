@@ -1,14 +1,15 @@
 """Writers and registry snapshots (SNK4/SNK5 results, T9).
 
-Writes are idempotent: a retried task or a re-run job rewrites the same
-files.  Nothing is ever written over a path the same plan reads from.
+A retried task or a re-run job rewrites the same files; registry snapshots are
+replaced only by a run with the same key.  Nothing is ever written over a path
+the same plan reads from.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,10 +20,12 @@ def overwrite_report(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast ``df`` to a target schema by name (extra columns dropped, missing ones NULL)."""
-    cols = [(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema.fields]
-    return df.select(*cols)
+    """Cast ``df`` to a target schema by name; missing or unknown columns fail (no silent drift)."""
+    wanted = {f.name for f in schema.fields}
+    missing, unknown = sorted(wanted - set(df.columns)), sorted(set(df.columns) - wanted)
+    if missing or unknown:
+        raise ValueError(f"columns don't match the target schema: missing {missing}, unknown {unknown}")
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_col: str = "date",
@@ -45,13 +48,16 @@ def archive_path(root: str, as_of, name: str) -> str:
     return f"{root.rstrip('/')}/{as_of.strftime('%Y%m%d')}/{name}"
 
 
-def archive_json(df: DataFrame, root: str, as_of, name: str) -> str:
-    """SNK3: keep the raw dump as JSON lines under the run date; returns the path."""
+def archive_raw(spark: SparkSession, source: str, root: str, as_of, name: str) -> str:
+    """SNK3: copy the landed text under the run date, line by line and unparsed; returns the path."""
     path = archive_path(root, as_of, name)
-    df.write.mode("overwrite").json(path)
+    spark.read.text(source).write.mode("overwrite").text(path)
     return path
 
 
-def write_snapshot(df: DataFrame, path: str) -> None:
-    """Write a registry snapshot to a new path (the next version of the table)."""
-    df.write.mode("errorifexists").parquet(path)
+def write_snapshot(df: DataFrame, path: str, replace: bool = False) -> None:
+    """Write a registry snapshot, the next version of the table.
+
+    ``replace``: a retry of the same run may write its own snapshot again.
+    """
+    df.write.mode("overwrite" if replace else "errorifexists").parquet(path)

@@ -82,5 +82,5 @@ def test_sizing_conf_scales_with_input():
     from memberpulse.session import sizing_conf
     small, big = sizing_conf(10 << 20), sizing_conf(100 << 40)
     assert small["spark.sql.shuffle.partitions"] == "200"
-    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert big["spark.sql.shuffle.partitions"] == "409600"
     assert sizing_conf(1 << 40)["spark.sql.shuffle.partitions"] == "4096"

@@ -115,12 +115,30 @@ def test_upsert_rejects_repeated_source_email(spark):
         reg.upsert(r, src, NOW).collect()
 
 
-def test_invite_batch_distributed_path_equals_single_task(spark):
-    """Above the single-task bound the exact distributed ranking gives the same rows."""
+def test_invite_batch_equals_a_plain_sort(spark):
+    """The bucketed selection gives the rows of a full sort at any n, without a single-task merge."""
     r = fx.registry(spark, SF_SMALL).repartition(5)
     for n in (0, 7, 40, 10_000):
-        small = sorted(x["email"] for x in rows(up.invite_batch(r, n, "7")))
-        big = sorted(x["email"] for x in rows(up.invite_batch(r, n, "7", single_task_rows=0)))
+        small = sorted(x["email"] for x in rows(r.where("status = 'pending'").orderBy(up.invite_order("7"), "email").limit(n)))
+        big = sorted(x["email"] for x in rows(up.invite_batch(r, n, "7")))
         assert small == big, n
-    plan = plan_text(up.invite_batch(r, 40, "7", single_task_rows=0))
+    plan = plan_text(up.invite_batch(r, 40, "7"))
     assert "TakeOrderedAndProject" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_other_registry_columns_survive(spark):
+    """UPDATE and MERGE leave columns they don't name alone; inserts have NULL there."""
+    r = registry_rows(spark, [("a@x", "English", None, "active"), ("b@x", "English", None, "pending")]).withColumn("plan", F.lit("gold"))
+    members = fx.members(spark, SF_SMALL).limit(3)
+    src = spark.createDataFrame([("b@x", "English", None), ("c@x", "Korean", None)], "email string, label string, note string")
+    for out in (reg.set_status(r, src.select("email"), reg.FAILED, NOW), reg.upsert(r, src, NOW), reg.sync(r, members, NOW)):
+        assert out.columns == r.columns
+        assert {x["plan"] for x in rows(out) if x["email"] in ("a@x", "b@x")} == {"gold"}
+    assert [x["plan"] for x in rows(reg.upsert(r, src, NOW)) if x["email"] == "c@x"] == [None]
+
+
+def test_sync_leaves_active_rows_without_email(spark):
+    r = registry_rows(spark, [("a@x", "English", None, "active")])
+    r = r.union(r.withColumn("email", F.lit(None).cast("string")).select(r.columns))
+    got = {x["email"]: x["status"] for x in rows(reg.sync(r, fx.members(spark, SF_SMALL).limit(1), NOW))}
+    assert got["a@x"] == "deleted" and got[None] == "active"
