@@ -85,7 +85,8 @@ def dedup_lines(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col
     later = later_occurrences(windows)
     spans = ws.stage("spans", later.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("spans")))
     ws.drop("windows")
-    whole = docs.select(F.struct("*").alias("row"), row_key(id_col, text_col).alias("key")).join(spans, "key", "left")
+    whole = docs.select(F.struct("*").alias("row"), row_key(id_col, text_col).alias("key")).join(
+        spans.hint("merge"), "key", "left")     # spans grow with the input: the same plan at every size
     text = F.col("row")[text_col]
     cleaned, removed = _without(text, F.col("spans"))
     hit = F.col("spans").isNotNull()
