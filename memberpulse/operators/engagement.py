@@ -27,18 +27,12 @@ from memberpulse.operators.membership import MONTH, REPORT_COLUMNS, WEEK
 FIRST_VISIT_EVENTS = ("first_visit", "session_start")
 
 
-def default_active() -> Column:
-    """Test default for the redacted active-use predicate (D4, FLT14).
-
-    Ours, not the reference's: the reference's predicate is withheld.
-    """
-    return (F.col("event_name").isin("click", "purchase", "session_start")
-            & (F.col("page_path").like("/app/%") | (F.col("engagement_time_sec") >= 10)))
+def _start(day: Column, grain: str) -> Column:
+    return week_start(day) if grain == "week" else month_start(day)
 
 
 def _bucket(df: DataFrame, grain: str, tz: str) -> Column:
-    day = local_date(utc_wall(df, "event_time_utc"), tz)
-    return week_start(day) if grain == "week" else month_start(day)
+    return _start(local_date(utc_wall(df, "event_time_utc"), tz), grain)
 
 
 def _period_name(grain: str) -> str:
@@ -47,14 +41,13 @@ def _period_name(grain: str) -> str:
     return WEEK if grain == "week" else MONTH
 
 
-def web_log_users(ga: DataFrame, grain: str = "week", active: Column | None = None,
-                  tz: str = DEFAULT_TZ) -> DataFrame:
+def web_log_users(ga: DataFrame, grain: str, active: Column, tz: str = DEFAULT_TZ) -> DataFrame:
     """AGG8 + AGG9: per period, distinct users with an active hit and with a first visit.
 
-    A period whose hits match neither predicate still appears, with zeros.
+    ``active``: the rule by which an event counts as active use (D4, FLT14).  A period
+    whose hits match neither predicate still appears, with zeros.
     """
     period = _period_name(grain)
-    active = default_active() if active is None else active
     known = F.col("user_id").isNotNull()
     is_first_visit = F.col("event_name").isin(*FIRST_VISIT_EVENTS)
     pairs = ga.select(_bucket(ga, grain, tz).alias(period), "user_id",
@@ -82,7 +75,35 @@ def first_visits(ga: DataFrame, grain: str = "week", tz: str = DEFAULT_TZ) -> Da
             .groupBy(period).agg(F.count_distinct("u").alias("first_visit")))
 
 
-def active_users(app: DataFrame, ga: DataFrame, grain: str = "week", active: Column | None = None,
+def daily_users(app: DataFrame, ga: DataFrame, active: Column, tz: str = DEFAULT_TZ) -> DataFrame:
+    """One row per local day, log and user: ``(day, web, user_id, uses, visits)``.
+
+    The users of any period of whole days follow from it exactly (:func:`roll_up`), so
+    a job that reports weeks and months scans and shuffles each log once.  Ids are kept
+    as text, so the two logs may hold them in different types.
+    """
+    def hits(df: DataFrame, web: bool, uses: Column, visits: Column) -> DataFrame:
+        return df.select(local_date(utc_wall(df, "event_time_utc"), tz).alias("day"), F.lit(web).alias("web"),
+                         F.col("user_id").cast("string").alias("user_id"),
+                         F.coalesce(uses, F.lit(False)).alias("uses"), F.coalesce(visits, F.lit(False)).alias("visits"))
+
+    both = hits(app, False, F.lit(True), F.lit(False)).unionByName(
+        hits(ga, True, active, F.col("event_name").isin(*FIRST_VISIT_EVENTS)))
+    return both.groupBy("day", "web", "user_id").agg(F.bool_or("uses").alias("uses"), F.bool_or("visits").alias("visits"))
+
+
+def roll_up(daily: DataFrame, grain: str) -> DataFrame:
+    """:func:`active_users` of one grain from the rows of :func:`daily_users`."""
+    period = _period_name(grain)
+    known = F.col("user_id").isNotNull()
+    per_user = daily.groupBy(_start(F.col("day"), grain).alias(period), "web", "user_id").agg(
+        F.bool_or("uses").alias("uses"), F.bool_or("visits").alias("visits"))
+    counts = per_user.groupBy(period, "web").agg(
+        F.count_if(known & F.col("uses")).alias("n"), F.count_if(known & F.col("visits")).alias("fv"))
+    return _with_first_visits(counts.withColumn("fv", F.when(F.col("web"), F.col("fv"))), grain)
+
+
+def active_users(app: DataFrame, ga: DataFrame, grain: str, active: Column,
                  tz: str = DEFAULT_TZ) -> DataFrame:
     """OP3 / OP4: (period, WAU|MAU, first_visit), two rows per period.
 
@@ -97,13 +118,19 @@ def active_users(app: DataFrame, ga: DataFrame, grain: str = "week", active: Col
     NULL-period first visits come as a row of their own.
     """
     period = _period_name(grain)
-    metric = "WAU" if grain == "week" else "MAU"
     app_rows = app_users(app, grain, tz).select(
         period, F.col("users").alias("n"), F.lit(None).cast("bigint").alias("fv"), F.lit(False).alias("web"))
     web_rows = web_log_users(ga, grain, active, tz).select(
         period, F.col("active_users").alias("n"), F.col("first_visit").alias("fv"), F.lit(True).alias("web"))
+    return _with_first_visits(app_rows.unionByName(web_rows), grain)
+
+
+def _with_first_visits(counts: DataFrame, grain: str) -> DataFrame:
+    """The output rows from per-period ``(period, web, n, fv)``; ``fv`` is NULL on app rows."""
+    period = _period_name(grain)
+    metric = "WAU" if grain == "week" else "MAU"
     p = F.col(period)
-    both = app_rows.unionByName(web_rows).withColumn(
+    both = counts.withColumn(
         "matched", F.when(p.isNotNull(), F.max("fv").over(Window.partitionBy(period))))
     zero = F.lit(0).cast("bigint")
     own = F.struct(F.col("n").alias("n"), F.coalesce(F.col("matched"), zero).alias("first_visit"))

@@ -19,6 +19,7 @@ from memberpulse.operators import membership as mem
 from memberpulse.operators import newsletters as nl
 from memberpulse.operators import registry as reg
 from memberpulse.operators import upkeep as up
+from memberpulse.plans import jobs
 from memberpulse.plans import oracle as sql
 from memberpulse.session import shared_dir
 from memberpulse.sources import fixtures as fx
@@ -46,10 +47,26 @@ def _single(op, period: str = mem.WEEK, **kw) -> Query:
 
 def _active(grain: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return eng.active_users(fx.app_events(spark, sf_dir), fx.ga_events(spark, sf_dir), grain, tz=fx.TZ)
+        return eng.active_users(fx.app_events(spark, sf_dir), fx.ga_events(spark, sf_dir), grain, fx.active_use(), fx.TZ)
     return run
 
 
+def _active_from_days(grain: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        daily = eng.daily_users(fx.app_events(spark, sf_dir), fx.ga_events(spark, sf_dir), fx.active_use(), fx.TZ)
+        return eng.roll_up(daily, grain)
+    return run
+
+
+def wau_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC4/SRC5: the app table read by path, the web table by name."""
+    path = f"{shared_dir(spark)}/app_events"
+    fx.app_events(spark, sf_dir).write.parquet(path)
+    fx.ga_events(spark, sf_dir).createOrReplaceTempView("memberpulse_web_events")
+    return eng.active_users(rd.read_table(spark, path), rd.read_table(spark, "memberpulse_web_events"),
+                            "week", fx.active_use(), fx.TZ)
+
+
 def _first_visit(grain: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return eng.first_visits(fx.ga_events(spark, sf_dir), grain, fx.TZ)
@@ -63,11 +80,32 @@ def _service(grain: str) -> Query:
         periods = membership_periods(spark, sf_dir)
         report = mem.member_report(periods, period, fx.TZ)
         engagement = eng.active_users(fx.app_events(spark, sf_dir), fx.ga_events(spark, sf_dir),
-                                      grain, tz=fx.TZ)
+                                      grain, fx.active_use(), fx.TZ)
         return eng.with_engagement(report, engagement, period)
     return run
 
 
+def weekly_member_report_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weekly report without the row of memberships that have no period."""
+    return mem.member_report(membership_periods(spark, sf_dir), mem.WEEK, fx.TZ, null_period="drop")
+
+
+def revenue_subcent_by_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue of amounts with fractions of a cent."""
+    periods = membership_periods(spark, sf_dir)
+    return mem.revenue(periods.withColumns({c: F.col(c) / 1000 for c in ("amount", "refund")}), mem.WEEK)
+
+
+def lenient_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FN1: order times written in eight forms (one of them no date), read back leniently."""
+    k = F.col("o_orderkey")
+    at = F.col("o_orderdate").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), (k % 24).cast("int"))
+    forms = [F.date_format(at, f) for f in ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd HH:mm:ss' Asia/Seoul'",
+                                            "yyyy-MM-dd HH:mm:ss'+02:00'", "yyyy/MM/dd HH:mm", "dd-MMM-yyyy", "yyyyMMdd")]
+    text = F.element_at(F.array(*forms, F.lit("not a date")), (k % 8 + 1).cast("int"))
+    return fx.table(spark, sf_dir, "orders").select("o_orderkey", rd.lenient_timestamp(text).alias("parsed"))
+
+
 def member_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aud.member_stats(fx.members(spark, sf_dir), fx.AS_OF, fx.TZ)
 
@@ -113,10 +151,20 @@ def _invites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return up.invite_batch(fx.registry(spark, sf_dir), fx.INVITE_BATCH, fx.SEED)
 
 
+def _flat_invites(invites: DataFrame) -> DataFrame:
+    return invites.select("email", F.col("labels")[0]["name"].alias("label_name"),
+                          F.col("labels")[0]["slug"].alias("label_slug"), "note")
+
+
 def invite_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _invites(spark, sf_dir).select(
-        "email", F.col("labels")[0]["name"].alias("label_name"),
-        F.col("labels")[0]["slug"].alias("label_slug"), "note")
+    return _flat_invites(_invites(spark, sf_dir))
+
+
+def invite_batch_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OP12 with a third of the pending rows."""
+    registry = fx.registry(spark, sf_dir)
+    n = registry.where(F.col("status") == up.PENDING).count() // 3
+    return _flat_invites(up.invite_batch(registry, n, fx.SEED))
 
 
 def registry_new(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,20 +175,29 @@ def registry_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reg.registry_diff(fx.members(spark, sf_dir), fx.registry(spark, sf_dir))[1]
 
 
+def _wide_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registry with a column that the operators don't know."""
+    return fx.registry(spark, sf_dir).withColumn("invite_code", F.md5(F.col("email")))
+
+
+def _failed_invites(registry: DataFrame) -> DataFrame:
+    """Outcome table over the whole registry: every email whose hash starts with 0."""
+    return registry.where(F.md5(F.col("email")).startswith("0")).select("email")
+
+
 def registry_mark_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mark every registry email whose hash starts with 0: an outcome table over the whole registry."""
-    failed = fx.registry(spark, sf_dir).where(F.md5(F.col("email")).startswith("0")).select("email")
-    return reg.set_status(fx.registry(spark, sf_dir), failed, reg.FAILED, fx.NOW)
+    registry = _wide_registry(spark, sf_dir)
+    return reg.set_status(registry, _failed_invites(registry), reg.FAILED, fx.NOW)
 
 
 def registry_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    registry = fx.registry(spark, sf_dir)
+    registry = _wide_registry(spark, sf_dir)
     new, _ = reg.registry_diff(fx.members(spark, sf_dir), registry)
     return reg.upsert(registry, new, fx.NOW)
 
 
 def registry_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reg.sync(fx.registry(spark, sf_dir), fx.members(spark, sf_dir), fx.NOW)
+    return reg.sync(_wide_registry(spark, sf_dir), fx.members(spark, sf_dir), fx.NOW)
 
 
 def _member_pages(members: DataFrame) -> DataFrame:
@@ -154,9 +211,9 @@ def json_param_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rd.unnest_json_records(rd.to_json_pages(records, "page"))
 
 
-def _flat_members(df: DataFrame) -> DataFrame:
+def _flat_members(df: DataFrame, *more: str) -> DataFrame:
     return df.select(
-        "id", "email",
+        "id", "email", *more,
         F.array_join(F.transform("labels", lambda x: x["name"]), ",").alias("label_names"),
         "note", "subscribed", F.col("email_suppression.suppressed").alias("suppressed"),
         "email_count", "email_open_rate", "created_at", "last_seen_at")
@@ -187,43 +244,54 @@ def kpi_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_archive_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK3: archive the landed member dump as it is under the run date, read it back."""
+    """SNK3: archive the landed member dump as it is, undeclared fields included, read it back."""
     root = shared_dir(spark)
-    fx.members(spark, sf_dir).withColumn("uuid", F.lit("kept")).write.json(f"{root}/landed")
+    fx.members(spark, sf_dir).withColumn("uuid", F.md5("id")).write.json(f"{root}/landed")
     path = sk.archive_raw(spark, f"{root}/landed", root, fx.AS_OF, "members.json")
-    raw = spark.read.schema(schemas.as_text_timestamps(schemas.MEMBERS)).json(path)
+    raw = spark.read.schema(schemas.as_text_timestamps(schemas.MEMBERS).add("uuid", "string")).json(path)
     return _flat_members(raw.withColumns({c: rd.lenient_timestamp(F.col(c))
-                                          for c in ("created_at", "last_seen_at")}))
+                                          for c in ("created_at", "last_seen_at")}), "uuid")
+
+
+def _land_memberships(rows: DataFrame, root: str) -> None:
+    """The day's CSV, columns in another order: header names decide, not places."""
+    (rows.select(*reversed(rows.columns)).write.mode("overwrite").option("header", True)
+     .csv(rd.membership_csv_path(root, fx.AS_OF)))
 
 
 def membership_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC1: land the memberships as the day's CSV, read it back with lenient dates."""
+    """SRC1: land the memberships as the day's CSV, read it back with lenient dates and text identities."""
     root = shared_dir(spark)
-    rows = fx.memberships(spark, sf_dir)
-    (rows.select(*reversed(rows.columns)).write.mode("overwrite").option("header", True)   # header names decide, not places
-     .csv(rd.membership_csv_path(root, fx.AS_OF)))
-    return rd.read_memberships_csv(spark, root, fx.AS_OF, identity_type="bigint")
+    _land_memberships(fx.memberships(spark, sf_dir).withColumn("identity", F.concat(F.lit("u"), "identity")), root)
+    return rd.read_memberships_csv(spark, root, fx.AS_OF)
 
 
-def member_pages_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC2: land the member dump as pages plus an empty last page, read it back."""
-    path = f"{shared_dir(spark)}/member_pages"
+def _land_member_pages(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The member dump as pages plus an empty last page."""
     members = _member_pages(fx.members(spark, sf_dir))
     fields = [c for c in members.columns if c != "page"]
-    pages = members.groupBy("page").agg(F.collect_list(F.struct(*fields)).alias("members"))
-    empty = pages.limit(0).unionByName(
-        spark.range(1).select(F.lit(None).cast("bigint").alias("page"),
-                              F.array().cast(pages.schema["members"].dataType).alias("members")))
-    pages.select("members").unionByName(empty.select("members")).write.json(path)
+    pages = members.groupBy("page").agg(F.collect_list(F.struct(*fields)).alias("members")).select("members")
+    empty = spark.range(1).select(F.array().cast(pages.schema["members"].dataType).alias("members"))
+    pages.unionByName(empty).write.json(path)
+
+
+def member_pages_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC2: land the member dump as pages, read it back."""
+    path = f"{shared_dir(spark)}/member_pages"
+    _land_member_pages(spark, sf_dir, path)
     return _flat_members(rd.read_member_pages(spark, path))
 
 
-def post_pages_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC3: land the post dump as pages, read it back, select the week's newsletters."""
-    path = f"{shared_dir(spark)}/post_pages"
+def _land_post_pages(spark: SparkSession, sf_dir: str, path: str) -> None:
     posts = fx.newsletters(spark, sf_dir).withColumn("page", F.floor(F.col("title").substr(6, 20).cast("bigint") / 100))
     fields = [c for c in posts.columns if c != "page"]
     posts.groupBy("page").agg(F.collect_list(F.struct(*fields)).alias("posts")).select("posts").write.json(path)
+
+
+def post_pages_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC3: land the post dump as pages, read it back, select the week's newsletters."""
+    path = f"{shared_dir(spark)}/post_pages"
+    _land_post_pages(spark, sf_dir, path)
     weekly = nl.weekly_newsletters(rd.read_post_pages(spark, path), fx.AS_OF, fx.TZ)
     return weekly.select(
         "title", "status", "published_at", "email_segment",
@@ -238,6 +306,50 @@ def registry_active_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rd.read_registry(spark, path, "active", ("email", "label", "updated_at"))
 
 
+def service_report_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 from a landed CSV and event tables (by path and by name): the rows of both reports."""
+    root = shared_dir(spark)
+    _land_memberships(fx.memberships(spark, sf_dir), root)
+    fx.app_events(spark, sf_dir).write.parquet(f"{root}/app_events")
+    fx.ga_events(spark, sf_dir).createOrReplaceTempView("memberpulse_web_log")
+    out = jobs.run_service_report(spark, root, f"{root}/app_events", "memberpulse_web_log", f"{root}/out",
+                                  fx.AS_OF, fx.active_use(), fx.TZ)
+    week, month = (spark.read.parquet(out[name]).withColumnsRenamed(renamed).withColumn("grain", F.lit(grain))
+                   for grain, name, renamed in (
+                       ("week", "weekly_metrics", {mem.WEEK: "period", "WAU": "users"}),
+                       ("month", "monthly_metrics", {mem.MONTH: "period", "MAU": "users"})))
+    return week.unionByName(month)
+
+
+def newsletter_kpis_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 from landed pages: the rows of the three KPI tables."""
+    root = shared_dir(spark)
+    _land_member_pages(spark, sf_dir, f"{root}/members")
+    _land_post_pages(spark, sf_dir, f"{root}/posts")
+    tables = ("member_kpis", "subscriber_kpis", "newsletter_kpis")
+    out = jobs.run_newsletter_kpis(spark, f"{root}/members", f"{root}/posts", f"{root}/kpi", f"{root}/raw",
+                                   fx.AS_OF, fx.TZ, tables)
+    member, subscriber, newsletter = (spark.read.parquet(out[t]).withColumn("kpi", F.lit(t)) for t in tables)
+    return member.unionByName(subscriber, True).unionByName(newsletter, True)
+
+
+def member_upkeep_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P3 with all its outcome tables: candidates, invites and the synced registry."""
+    root = shared_dir(spark)
+    _land_member_pages(spark, sf_dir, f"{root}/members")
+    registry = fx.registry(spark, sf_dir)
+    registry.write.parquet(f"{root}/registry")
+    _deleted_ids(fx.members(spark, sf_dir)).write.parquet(f"{root}/deleted")
+    _failed_invites(registry).write.parquet(f"{root}/failed")
+    out = jobs.run_member_upkeep(spark, f"{root}/members", f"{root}/registry", f"{root}/out", fx.NOW,
+                                 2 * F.col("total"), fx.SEED, f"{root}/deleted", f"{root}/failed", f"{root}/members")
+    parts = (("candidate", spark.read.parquet(out["deletion_candidates"]).select("email")),
+             ("invite", _flat_invites(spark.read.parquet(out["invites"])).select("email", F.col("label_name").alias("label"), "note")),
+             ("registry", spark.read.parquet(out["registry_synced"])))
+    candidates, invites, synced = (df.withColumn("part", F.lit(part)) for part, df in parts)
+    return synced.unionByName(candidates, True).unionByName(invites, True)
+
+
 QUERIES: dict[str, Query] = {
     "membership_periods": membership_periods,
     "weekly_member_report": _report(mem.WEEK),
@@ -273,6 +385,16 @@ QUERIES: dict[str, Query] = {
     "member_pages_roundtrip": member_pages_roundtrip,
     "post_pages_roundtrip": post_pages_roundtrip,
     "registry_active_scan": registry_active_scan,
+    "weekly_member_report_drop": weekly_member_report_drop,
+    "revenue_subcent_by_week": revenue_subcent_by_week,
+    "lenient_dates": lenient_dates,
+    "wau_from_days": _active_from_days("week"),
+    "mau_from_days": _active_from_days("month"),
+    "wau_from_tables": wau_from_tables,
+    "invite_batch_large": invite_batch_large,
+    "service_report_job": service_report_job,
+    "newsletter_kpis_job": newsletter_kpis_job,
+    "member_upkeep_job": member_upkeep_job,
 }
 
 _MP = "membership_periods"
@@ -328,13 +450,10 @@ ORACLE: dict[str, str] = {
     "registry_new": sql.upkeep_sql("SELECT * FROM new_members", "new_members"),
     "registry_missing": sql.upkeep_sql("SELECT * FROM missing", "missing"),
     "registry_mark_failed": sql.upkeep_sql(
-        f"""SELECT email, label, note, created_at,
-              CASE WHEN email IN (SELECT email FROM failed) THEN {sql.NOW_SQL} ELSE updated_at END AS updated_at,
-              CASE WHEN email IN (SELECT email FROM failed) THEN 'failed' ELSE status END AS status
-            FROM registry""", "failed"),
+        "SELECT *, md5(email) AS invite_code FROM marked", "marked"),
     "registry_upsert": sql.upkeep_sql("SELECT * FROM upserted", "upserted"),
     "registry_sync": sql.upkeep_sql(
-        f"""SELECT email, label, note, created_at,
+        f"""SELECT email, label, note, created_at, invite_code,
               CASE WHEN email IN (SELECT email FROM missing) THEN {sql.NOW_SQL} ELSE updated_at END AS updated_at,
               CASE WHEN email IN (SELECT email FROM missing) THEN 'deleted' ELSE status END AS status
             FROM upserted""", "upserted", "missing"),
@@ -342,10 +461,56 @@ ORACLE: dict[str, str] = {
     "report_overwrite_roundtrip": sql.member_report_sql("week_start_date"),
     "kpi_partition_roundtrip": sql.compose(
         sql.member_stats_body(sql.AS_OF) + " UNION ALL " + sql.member_stats_body(sql.PREV_AS_OF), "members"),
-    "raw_archive_roundtrip": sql.compose(sql.MEMBER_FLAT, "members"),
-    "membership_csv_roundtrip": sql.compose("SELECT * FROM memberships", "memberships"),
+    "raw_archive_roundtrip": sql.compose(f"SELECT *, md5(id) AS uuid FROM ({sql.MEMBER_FLAT}) f", "members"),
+    "membership_csv_roundtrip": sql.compose(
+        """SELECT * REPLACE ('u' || "identity" AS "identity") FROM memberships""", "memberships"),
     "member_pages_roundtrip": sql.compose(sql.MEMBER_FLAT, "members"),
     "post_pages_roundtrip": sql.compose(sql.weekly_newsletters_body(sql.AS_OF), "newsletters"),
     "registry_active_scan": sql.compose(
         "SELECT email, label, updated_at FROM registry WHERE status = 'active'", "registry"),
+    "weekly_member_report_drop": sql.compose("SELECT * FROM rep WHERE week_start_date > DATE '1970-01-01'", _MP,
+                                             extra=sql.report_ctes("week_start_date")),
+    "revenue_subcent_by_week": sql.compose(
+        f"""SELECT week_start_date, CAST(paid AS DOUBLE) AS payment, CAST(back AS DOUBLE) AS refund,
+              CAST(paid - back AS DOUBLE) AS weekly_revenue
+            FROM (SELECT week_start_date, coalesce(sum(CAST(amount / 1000 AS DECIMAL(28, 8))), 0) AS paid,
+                    coalesce(sum(CAST(refund / 1000 AS DECIMAL(28, 8))), 0) AS back
+                  FROM {_MP} WHERE week_start_date IS NOT NULL GROUP BY 1) s""", _MP),
+    "lenient_dates": """SELECT o_orderkey, CASE o_orderkey % 8
+              WHEN 2 THEN wall - INTERVAL 9 HOUR WHEN 3 THEN wall - INTERVAL 2 HOUR
+              WHEN 5 THEN date_trunc('day', wall) WHEN 6 THEN date_trunc('day', wall) WHEN 7 THEN NULL ELSE wall END AS parsed
+            FROM (SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) + to_hours(o_orderkey % 24) AS wall FROM orders) o""",
+    "wau_from_days": sql.active_users_sql("week"),
+    "mau_from_days": sql.active_users_sql("month"),
+    "wau_from_tables": sql.active_users_sql("week"),
+    "invite_batch_large": sql.upkeep_sql(
+        f"""SELECT email, label AS label_name, lower(label) AS label_slug, coalesce(note, '') AS note
+            FROM registry WHERE status = 'pending' ORDER BY md5(email || '{sql.SEED}'), email
+            LIMIT (SELECT count(*) // 3 FROM registry WHERE status = 'pending')"""),
+    "service_report_job": f"""SELECT 'week' AS grain, week_start_date AS period, WAU AS users, * EXCLUDE (week_start_date, WAU)
+            FROM ({sql.service_report_sql("week")}) w
+          UNION ALL BY NAME
+          SELECT 'month' AS grain, year_month_date AS period, MAU AS users, * EXCLUDE (year_month_date, MAU)
+            FROM ({sql.service_report_sql("month")}) m""",
+    "newsletter_kpis_job": sql.compose(
+        f"""SELECT 'member_kpis' AS kpi, * FROM ({sql.member_stats_body(sql.AS_OF)}) a
+          UNION ALL BY NAME SELECT 'subscriber_kpis' AS kpi, * FROM ({sql.subscriber_stats_body(sql.AS_OF)}) b
+          UNION ALL BY NAME SELECT 'newsletter_kpis' AS kpi, * FROM ({sql.newsletter_stats_body()}) c""",
+        "members", "newsletters", extra={"wk": sql.weekly_newsletters_body(sql.AS_OF)}),
+    "member_upkeep_job": sql.upkeep_sql(
+        f"""SELECT 'registry' AS part, coalesce(f.email, m.email) AS email,
+              CASE WHEN f.email IS NULL THEN m.first_label ELSE f.label END AS label,
+              CASE WHEN f.email IS NULL THEN m.note ELSE f.note END AS note,
+              CASE WHEN f.email IS NULL THEN {sql.NOW_SQL} ELSE f.created_at END AS created_at,
+              CASE WHEN f.email IS NULL OR (f.status = 'active') = (m.email IS NULL) THEN {sql.NOW_SQL}
+                   ELSE f.updated_at END AS updated_at,
+              CASE WHEN m.email IS NOT NULL THEN 'active' WHEN f.status = 'active' THEN 'deleted'
+                   ELSE f.status END AS status
+            FROM marked f FULL OUTER JOIN members m ON f.email = m.email
+          UNION ALL BY NAME SELECT 'candidate' AS part, email FROM cand
+          UNION ALL BY NAME SELECT * FROM (
+            SELECT 'invite' AS part, email, label, coalesce(note, '') AS note FROM registry WHERE status = 'pending'
+            ORDER BY md5(email || '{sql.SEED}'), email
+            LIMIT (SELECT (SELECT count(*) FROM members) + (SELECT count(*) FROM deleted_ids))) i""",
+        "marked", "cand", "deleted_ids"),
 }

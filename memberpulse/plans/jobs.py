@@ -30,24 +30,28 @@ def run_service_report(spark: SparkSession, memberships_root: str, app_events: s
     """Extract -> normalise -> weekly/monthly report -> engagement -> overwrite both tables.
 
     ``active``: the rule by which a web event counts as active use (D4); there is no default.
-    The staged memberships are removed at the end.
+    Both grains are rolled up from one table of daily users, so each log is scanned once.
+    The staged memberships and daily users are removed at the end.
     """
-    stage = f"{shared_dir(spark)}/membership_periods"
-    periods = membership.with_periods(readers.read_memberships_csv(spark, memberships_root, as_of), tz)
-    periods.write.mode("overwrite").parquet(stage)
-    periods = spark.read.parquet(stage)
-    app = readers.read_table(spark, app_events)
-    ga = readers.read_table(spark, ga_events)
-    written = {}
-    for grain, period, name in (("week", membership.WEEK, "weekly_metrics"),
-                                ("month", membership.MONTH, "monthly_metrics")):
-        report = membership.member_report(periods, period, tz, null_period)
-        users = engagement.active_users(app, ga, grain, active, tz)
-        path = f"{out_root.rstrip('/')}/{name}"
-        sinks.overwrite_report(engagement.with_engagement(report, users, period, null_period), path)
-        written[name] = path
-    remove_path(spark, stage)
-    return written
+    stage = shared_dir(spark)
+    try:
+        membership.with_periods(readers.read_memberships_csv(spark, memberships_root, as_of), tz
+                                ).write.parquet(f"{stage}/membership_periods")
+        engagement.daily_users(readers.read_table(spark, app_events), readers.read_table(spark, ga_events), active, tz
+                               ).write.parquet(f"{stage}/daily_users")
+        periods = spark.read.parquet(f"{stage}/membership_periods")
+        daily = spark.read.parquet(f"{stage}/daily_users")
+        written = {}
+        for grain, period, name in (("week", membership.WEEK, "weekly_metrics"),
+                                    ("month", membership.MONTH, "monthly_metrics")):
+            report = membership.member_report(periods, period, tz, null_period)
+            users = engagement.roll_up(daily, grain)
+            path = f"{out_root.rstrip('/')}/{name}"
+            sinks.overwrite_report(engagement.with_engagement(report, users, period, null_period), path)
+            written[name] = path
+        return written
+    finally:
+        remove_path(spark, stage)
 
 
 MEMBER_STATS = ("date date, total bigint, active bigint, subscriber bigint, engagement_rate double, "
@@ -59,8 +63,13 @@ NEWSLETTER_STATS = ("date date, sent bigint, opened bigint, clicked bigint, deli
 
 
 def run_newsletter_kpis(spark: SparkSession, member_pages: str, post_pages: str, kpi_root: str,
-                        archive_root: str, as_of, tz: str = DEFAULT_TZ) -> dict[str, str]:
-    """Archive the raw dumps, write three KPI tables into their run-date partitions."""
+                        archive_root: str, as_of, tz: str = DEFAULT_TZ,
+                        tables: tuple[str, str, str] = ("member_kpis", "subscriber_kpis", "newsletter_kpis"),
+                        ) -> dict[str, str]:
+    """Archive the raw dumps, write three KPI tables into their run-date partitions.
+
+    ``tables``: names of the member, subscriber and newsletter tables.
+    """
     stage = f"{shared_dir(spark)}/members"
     readers.read_member_pages(spark, member_pages).write.parquet(stage)
     members = spark.read.parquet(stage)
@@ -71,9 +80,9 @@ def run_newsletter_kpis(spark: SparkSession, member_pages: str, post_pages: str,
             "newsletters.json": sinks.archive_raw(spark, post_pages, archive_root, as_of, "newsletters.json"),
         }
         outputs = (
-            ("blog_member_statistics", audience.member_stats(members, as_of, tz), MEMBER_STATS),
-            ("blog_subscriber_statistics", audience.subscriber_stats(members, as_of, tz), SUBSCRIBER_STATS),
-            ("blog_newsletter_statistics", newsletters.newsletter_stats(posts, tz), NEWSLETTER_STATS),
+            (tables[0], audience.member_stats(members, as_of, tz), MEMBER_STATS),
+            (tables[1], audience.subscriber_stats(members, as_of, tz), SUBSCRIBER_STATS),
+            (tables[2], newsletters.newsletter_stats(posts, tz), NEWSLETTER_STATS),
         )
         for name, df, ddl in outputs:
             path = f"{kpi_root.rstrip('/')}/{name}"

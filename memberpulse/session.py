@@ -83,6 +83,16 @@ def remove_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def replace_path(spark: SparkSession, new: str, target: str) -> None:
+    """Put the completely written folder ``new`` in the place of ``target``."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    src, dst = jvm.org.apache.hadoop.fs.Path(new), jvm.org.apache.hadoop.fs.Path(target)
+    fs = dst.getFileSystem(conf)
+    fs.delete(dst, True)
+    if not fs.rename(src, dst):
+        raise OSError(f"could not move {new} to {target}")
+
+
 def sizing_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Partition sizing for an input of ``input_bytes`` (pass to ``get_session(conf=...)``).
 

@@ -13,10 +13,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from memberpulse.session import replace_path
 
-def overwrite_report(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """SNK1: replace the whole report table."""
-    df.write.mode("overwrite").format(fmt).save(path)
+
+def overwrite_report(df: DataFrame, target: str, fmt: str = "parquet") -> None:
+    """SNK1: replace the whole report table, a path (with a ``/``) or a catalog name.
+
+    The rows are written aside and moved in when they are complete, so a run that fails
+    leaves the report as it was; what such a run left aside is overwritten by the next.
+    """
+    aside = f"{target.rstrip('/')}__next"
+    if "/" in target:
+        df.write.mode("overwrite").format(fmt).save(aside)
+        replace_path(df.sparkSession, aside, target.rstrip("/"))
+    else:
+        df.write.mode("overwrite").format(fmt).saveAsTable(aside)
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {target}")
+        df.sparkSession.sql(f"ALTER TABLE {aside} RENAME TO {target}")
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

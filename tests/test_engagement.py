@@ -28,14 +28,14 @@ def test_active_users_two_rows_per_period(spark):
         ("2024-01-01 00:00:00", None, "first_visit", "/app/2", 1.0),   # no user: not counted
         ("2024-01-09 00:00:00", 4, "click", "/pricing", 12.0),         # active only, other week
     ])
-    got = sorted((r[mem.WEEK], r["WAU"], r["first_visit"]) for r in rows(eng.active_users(a, g, "week")))
+    got = sorted((r[mem.WEEK], r["WAU"], r["first_visit"]) for r in rows(eng.active_users(a, g, "week", fx.active_use())))
     assert got == [(d("2024-01-01"), 1, 1), (d("2024-01-01"), 2, 1), (d("2024-01-08"), 1, 0)]
 
 
 def test_app_only_period_gets_zero_first_visits(spark):
     a = app(spark, [("2024-02-01 00:00:00", 1, "click")])
     g = ga(spark, [("2024-01-01 00:00:00", 1, "view", "/x", 1.0)])
-    got = sorted((r[mem.MONTH], r["MAU"], r["first_visit"]) for r in rows(eng.active_users(a, g, "month")))
+    got = sorted((r[mem.MONTH], r["MAU"], r["first_visit"]) for r in rows(eng.active_users(a, g, "month", fx.active_use())))
     assert got == [(d("2024-01-01"), 0, 0), (d("2024-02-01"), 1, 0)]
 
 
@@ -63,7 +63,7 @@ def test_with_engagement_duplicates_and_zero_fills(spark):
 
 
 def test_web_log_shares_one_scan_and_one_user_shuffle(spark):
-    plan = plan_text(eng.active_users(fx.app_events(spark, SF_SMALL), fx.ga_events(spark, SF_SMALL), "week"))
+    plan = plan_text(eng.active_users(fx.app_events(spark, SF_SMALL), fx.ga_events(spark, SF_SMALL), "week", fx.active_use()))
     assert plan.count("FileScan parquet") == 2, plan   # app events once, web log once
     for bad in ("Expand", "PythonUDF", "CartesianProduct"):
         assert bad not in plan, bad

@@ -20,6 +20,7 @@ from memberpulse import schemas
 from memberpulse.operators import engagement as eng
 from memberpulse.operators import membership as mem
 from memberpulse.plans import oracle as sql
+from memberpulse.sources import fixtures as fx
 from oracle_compare import _norm
 
 STATUSES = ["paid", "first paid", "scheduled", "signup", "churn", "refunded", None]
@@ -83,7 +84,9 @@ event_rows = st.lists(st.tuples(
 def test_active_users_matches_oracle_with_null_periods(spark, app, ga, grain):
     app_df = spark.createDataFrame([(t, None, u, n) for t, u, n, _, _ in app], schemas.APP_EVENTS)
     ga_df = spark.createDataFrame(list(ga), schemas.GA_EVENTS)
-    got = rows(eng.active_users(app_df, ga_df, grain))
+    got = rows(eng.active_users(app_df, ga_df, grain, fx.active_use()))
+    by_day = eng.roll_up(eng.daily_users(app_df, ga_df, fx.active_use()), grain)
+    assert sorted(map(str, rows(by_day))) == sorted(map(str, got))      # one table of days gives both grains
     con = duckdb.connect()
     con.register("app_in", pd.DataFrame([(t, u, n) for t, u, n, _, _ in app],
                                         columns=["event_time_utc", "user_id", "event_name"]))

@@ -134,6 +134,30 @@ def test_archive_path_and_report_overwrite(spark, scratch):
     assert spark.read.parquet(f"{scratch}/r").count() == 3
 
 
+def test_report_overwrite_by_name_and_failed_run(spark, scratch):
+    """A catalog name as target; a run that fails leaves the report as it was."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS memberpulse_reports LOCATION '{scratch}/db'")
+    for target, read in (("memberpulse_reports.weekly", spark.table), (f"{scratch}/weekly", spark.read.parquet)):
+        sk.overwrite_report(spark.range(3), target)
+        sk.overwrite_report(spark.range(5), target)
+        with pytest.raises(Exception, match="no rows today"):
+            sk.overwrite_report(spark.range(7).select(F.raise_error(F.lit("no rows today")).cast("bigint").alias("id")), target)
+        assert read(target).count() == 5
+    spark.sql("DROP DATABASE memberpulse_reports CASCADE")
+
+
+def test_memberships_of_a_customer_with_a_third_of_the_orders(spark, scratch):
+    """Ties and a hot customer: same rows as the SQL form, first orders by hash aggregation."""
+    con = duckdb.connect()
+    con.execute(f"""COPY (SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE o_custkey END AS o_custkey)
+                          FROM read_parquet('{SF_SMALL}/orders.parquet')) TO '{scratch}/orders.parquet' (FORMAT parquet)""")
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM read_parquet('{scratch}/orders.parquet')")
+    got = QUERIES["membership_periods"](spark, scratch)
+    assert "SortAggregate" not in plan_text(got)
+    res = compare(spark, con, "membership_periods", got, entry.oracle_sql()["membership_periods"])
+    assert res["match"], res
+
+
 def test_registry_scan_pushes_status_and_projection(spark, scratch):
     fx.registry(spark, SF_SMALL).write.parquet(f"{scratch}/registry")
     plan = plan_text(rd.read_registry(spark, f"{scratch}/registry", "pending", ("email", "label", "note")))
@@ -154,7 +178,7 @@ def test_service_report_job(spark, scratch):
     fx.app_events(spark, SF_SMALL).write.parquet(f"{scratch}/app")
     fx.ga_events(spark, SF_SMALL).write.parquet(f"{scratch}/ga")
     out = jobs.run_service_report(spark, land, f"{scratch}/app", f"{scratch}/ga", f"{scratch}/out", "2024-01-22",
-                                  active=engagement.default_active())
+                                  active=fx.active_use())
     weekly = spark.read.parquet(out["weekly_metrics"])
     expected = entry.queries()["weekly_service_report"](spark, SF_SMALL)
     assert sorted(map(tuple, weekly.select(expected.columns).collect())) == sorted(map(tuple, expected.collect()))
@@ -167,10 +191,10 @@ def test_newsletter_kpi_job(spark, scratch):
     posts.select(F.array(F.struct(*posts.columns)).alias("posts")).write.json(f"{scratch}/posts")
     out = jobs.run_newsletter_kpis(spark, f"{scratch}/members", f"{scratch}/posts", f"{scratch}/kpi",
                                    f"{scratch}/raw", "2024-01-22")
-    stats = spark.read.parquet(out["blog_member_statistics"])
+    stats = spark.read.parquet(out["member_kpis"])
     assert stats.count() == 2 and stats.schema["date"].dataType.simpleString() == "date"
     assert os.path.isdir(f"{scratch}/raw/20240122/members.json")
-    assert spark.read.parquet(out["blog_newsletter_statistics"]).count() > 0
+    assert spark.read.parquet(out["newsletter_kpis"]).count() > 0
 
 
 def test_member_upkeep_job_stages(spark, scratch):
