@@ -1,9 +1,11 @@
 """Quality rules as a short-circuit cascade, ordered by rejections per cost; no Python on the data path.
 
-A rule is a condition that rejects a text, with an estimate of its work.  On a sample the
-cascade measures the share of texts that each rule rejects; rules then run in the order of
+A rule is a condition that rejects a text, with the steps that a text costs it as an
+expression of the text's size.  On a sample the cascade measures the share of texts that
+each rule rejects and the mean number of its steps; rules then run in the order of
 rejection share per cost, as the branches of one CASE expression, so that a text leaves at
-its first failing rule.  The order changes the work, never the verdict.
+its first failing rule.  Steps are counted, not timed: equal data give an equal order.  The
+order changes the work, never the verdict.
 """
 
 from __future__ import annotations
@@ -19,24 +21,24 @@ SYMBOLS = "[#*$%&|<>]"
 
 @dataclass(frozen=True)
 class Rule:
-    """``rejects``: SQL condition over the measures; ``cost``: relative work of what it measures."""
+    """``rejects``: SQL condition over the measures; ``work``: SQL expression over them, the steps of one text."""
 
     name: str
     rejects: str
-    cost: float
+    work: str
 
 
 #: The base rules: too short, or more than half of the words in repeated three-word windows.
 BASE = (
-    Rule("short", "n_words < 50", 1.0),
-    Rule("repetition", "100 * n_repeat_words > 50 * n_words", 12.0),
+    Rule("short", "n_words < 50", "n_chars"),
+    Rule("repetition", "100 * n_repeat_words > 50 * n_words", "n_chars + 8 * n_words * log2(n_words + 2)"),
 )
 #: The cascade's further rules.
 FURTHER = (
-    Rule("word_length_low", "word_chars < 2 * n_words", 1.5),
-    Rule("word_length_high", "word_chars > 14 * n_words", 1.5),
-    Rule("symbols", "10 * n_symbols > n_words", 2.0),
-    Rule("repeated_lines", "n_lines >= 3 AND 100 * n_dup_lines > 50 * n_lines", 3.0),
+    Rule("word_length_low", "word_chars < 2 * n_words", "n_chars + n_words"),
+    Rule("word_length_high", "word_chars > 14 * n_words", "n_chars + n_words"),
+    Rule("symbols", "10 * n_symbols > n_words", "2 * n_chars"),
+    Rule("repeated_lines", "n_lines >= 3 AND 100 * n_dup_lines > 50 * n_lines", "2 * n_chars + n_lines"),
 )
 
 
@@ -80,8 +82,8 @@ def _repeated(docs: DataFrame) -> DataFrame:
 def measures(docs: DataFrame, text_col: str = "text", keep: str = "row") -> DataFrame:
     """``keep`` (a struct of the row) and the measures of every text.
 
-    ``n_words``, ``word_chars`` (code points in words), ``n_symbols``, ``n_lines`` (lines
-    with a word), ``n_dup_lines`` (of these, equal to an earlier one), ``n_repeat_words``.
+    ``n_chars``, ``n_words``, ``word_chars`` (code points in words), ``n_symbols``, ``n_lines``
+    (lines with a word), ``n_dup_lines`` (of these, equal to an earlier one), ``n_repeat_words``.
     """
     base = docs.select(F.struct("*").alias(keep), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     base = base.select(keep, "t", words(F.col("t")).alias("w"), F.filter(
@@ -89,23 +91,24 @@ def measures(docs: DataFrame, text_col: str = "text", keep: str = "row") -> Data
     base = base.withColumn("n_words", F.size("w").cast("long"))
     out = _repeated(base)
     return out.select(
-        keep, "n_words", F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
+        keep, F.length("t").cast("long").alias("n_chars"), "n_words", F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         F.regexp_count("t", F.lit(SYMBOLS)).cast("long").alias("n_symbols"), F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), "n_repeat_words")
 
 
 def rule_order(docs: DataFrame, rules: tuple[Rule, ...], text_col: str = "text", sample_rows: int = 2000) -> list[Rule]:
-    """Rules by falling rejection share per cost on about ``sample_rows`` texts (chosen by text hash).
+    """Rules by falling rejection share per mean work on about ``sample_rows`` texts (chosen by text hash).
 
-    The sample sets the order only.  Ties and an empty sample: by cost, then as given.
+    The sample sets the order only.  Ties and an empty sample: by work, then as given.
     """
     n = docs.count()
     share = min(1.0, sample_rows / n) if n else 1.0
     sample = docs.where(F.pmod(F.xxhash64(text_col), F.lit(1 << 30)) < int(share * (1 << 30)))
-    found = measures(sample, text_col).agg(
-        F.count("*").alias("n"), *[F.count_if(F.expr(r.rejects)).alias(r.name) for r in rules]).first()
-    gain = {r.name: (found[r.name] / found["n"] if found["n"] else 0.0) / r.cost for r in rules}
-    return sorted(rules, key=lambda r: (-gain[r.name], r.cost))
+    found = measures(sample, text_col).agg(F.count("*").alias("n"), *[F.struct(
+        F.count_if(F.expr(r.rejects)).alias("rejected"), F.avg(F.expr(r.work)).alias("work")).alias(r.name) for r in rules]).first()
+    work = {r.name: max(1.0, found[r.name]["work"] or 0.0) for r in rules}
+    gain = {r.name: found[r.name]["rejected"] / max(1, found["n"]) / work[r.name] for r in rules}
+    return sorted(rules, key=lambda r: (-gain[r.name], work[r.name]))
 
 
 def cascade(docs: DataFrame, rules: tuple[Rule, ...] = FURTHER, base: tuple[Rule, ...] = BASE, text_col: str = "text",

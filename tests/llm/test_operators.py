@@ -107,6 +107,9 @@ def test_rule_order_does_not_change_the_verdict(edges):
     rules = quality_cascade.BASE + quality_cascade.FURTHER
     order = quality_cascade.rule_order(edges, rules)
     assert sorted(r.name for r in order) == sorted(r.name for r in rules)
+    made = [quality_cascade.Rule(name, rejects, work) for name, rejects, work in (
+        ("never", "n_words < 0", "1"), ("dear", "n_words > 1", "1000 + n_words"), ("cheap", "n_words > 1", "n_words"))]
+    assert [r.name for r in quality_cascade.rule_order(edges, tuple(made))] == ["cheap", "dear", "never"]
     kept = {o: [r["kept"] for r in quality_cascade.cascade(edges, sample_rows=o).orderBy("row.doc_id", "n_words").collect()] for o in (1, 100)}
     assert kept[1] == kept[100]
 
