@@ -271,6 +271,20 @@ def test_fuzzy_passages_are_found_and_clean_texts_left(spark):
     assert (exact["start"], exact["stop"]) == (31, 101)
 
 
+def test_passages_on_both_sides_of_a_bad_gap_are_found(spark):
+    rng = random.Random(13)
+    docs, want = [], {}
+    for n, gap in enumerate((10, 30, 50, 120, 250, 400, 600)):
+        head, foot = sentence(rng, 60), sentence(rng, 60)
+        for place, other in ((2 * n, gap), (2 * n + 1, gap if n % 2 else 0)):      # a gap in both texts, or in the first only
+            docs.append((place, head + " " + sentence(rng, other) + " " + foot))
+        want[2 * n + 1] = [(0, 60), (60 + other, 120 + other)]
+    got = substring_dedup.shared_passages(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    for place, spans in want.items():
+        for start, stop in spans:
+            assert any(r["doc_id"] == place and r["start"] <= start and r["stop"] >= stop for r in got), (place, start)
+
+
 # --- learned operators ----------------------------------------------------------------------
 
 def test_language_gradients_and_held_out_accuracy(spark):
