@@ -285,6 +285,38 @@ def test_passages_on_both_sides_of_a_bad_gap_are_found(spark):
             assert any(r["doc_id"] == place and r["start"] <= start and r["stop"] >= stop for r in got), (place, start)
 
 
+def uncovered(docs, got, size=50):
+    """Words in runs of ``size`` words that an earlier document holds, outside of the passages of their document."""
+    first, missed = {}, []
+    spans: dict = {}
+    for r in got:
+        spans.setdefault(r["doc_id"], []).append((r["start"], r["stop"]))
+    for doc_id, text in sorted(docs):
+        words, need = text.lower().split(), set()
+        for i in range(len(words) - size + 1):
+            if first.setdefault(tuple(words[i: i + size]), doc_id) != doc_id:
+                need |= set(range(i, i + size))
+        missed += [(doc_id, i) for i in sorted(need) if not any(a <= i < b for a, b in spans.get(doc_id, ()))]
+    return missed
+
+
+def test_every_run_that_an_earlier_document_holds_is_covered(spark):
+    rng = random.Random(17)
+    whole = [sentence(rng, 60).split() for _ in range(4)]
+    halves = [part for w in whole for part in (w[:30], w[30:])]
+    texts = [sentence(rng, 70) + " " + " ".join(h) + " " + sentence(rng, 70) for h in halves]       # earlier holders of halves
+    texts += [sentence(rng, 20 + i) + " " + " ".join(w) + " " + sentence(rng, 30) for i in range(6) for w in whole]
+    texts += ["lo " * 400 + sentence(rng, 50), sentence(rng, 50) + " lo" * 300, " ".join("ba de fi".split() * 200)]
+    texts += [" ".join("ba de fi".split() * 90) + " " + sentence(rng, 80), texts[9], texts[9] + " " + " ".join(whole[0][5:55])]
+    docs = list(enumerate(texts))
+    out = []
+    for parts in (1, 7):
+        frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(parts)
+        out.append(sorted(map(tuple, (got := substring_dedup.shared_passages(frame).collect()))))
+        assert uncovered(docs, got) == []
+    assert out[0] == out[1]
+
+
 # --- learned operators ----------------------------------------------------------------------
 
 def test_language_gradients_and_held_out_accuracy(spark):
