@@ -317,6 +317,19 @@ def test_every_run_that_an_earlier_document_holds_is_covered(spark):
     assert out[0] == out[1]
 
 
+def test_a_passage_after_a_quote_of_its_start_is_found(spark):
+    rng = random.Random(19)
+    exact, fuzzy = sentence(rng, 120).split(), sentence(rng, 120).split()
+    edited = [w if i % 30 else "other" for i, w in enumerate(fuzzy, 1)]     # no equal run of 50 words
+    quoting = lambda start, passage: " ".join([sentence(rng, 40), *start, sentence(rng, 300), *passage, sentence(rng, 40)])
+    docs = [(1, quoting(exact[:70], exact)), (2, sentence(rng, 20) + " " + " ".join(exact)),
+            (3, " ".join(fuzzy) + " " + sentence(rng, 20)), (4, quoting(edited[:70], edited))]
+    got = substring_dedup.shared_passages(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    assert uncovered(docs, got) == []
+    assert any(r["doc_id"] == 2 and r["other_doc_id"] == 1 and r["start"] <= 20 and r["stop"] >= 140 for r in got)
+    assert any(r["doc_id"] == 4 and r["other_doc_id"] == 3 and r["start"] <= 410 and r["stop"] >= 529 for r in got)
+
+
 # --- learned operators ----------------------------------------------------------------------
 
 def test_language_gradients_and_held_out_accuracy(spark):
