@@ -1,7 +1,8 @@
-"""Licence scan: sparse TF-IDF cosine of lines to templates, then inheritance from the nearest directory.
+"""Licence scan: sparse TF-IDF cosine of term windows of lines to templates, then inheritance from the nearest directory.
 
-No Python on the data path.  Document frequencies of the templates' terms come from all
-files.  A line can only reach the threshold if it holds one of a template's heaviest terms
+No Python on the data path.  Document frequencies of the templates' and the windows' terms
+come from all files, so neither words around a notice nor the number of files move a
+verdict.  A line can only reach the threshold if it holds one of a template's heaviest terms
 (the others together are too light), so lines are first filtered by those terms, exactly.
 """
 
@@ -76,28 +77,67 @@ def necessary_terms(vectors, threshold: float) -> list[str]:
     return sorted(needed)
 
 
-def line_matches(files: DataFrame, vectors, idf: dict[str, float], unseen: float, threshold: float) -> DataFrame:
-    """``(key, licence, score)``: the best template of every file whose best line reaches ``threshold``.
+def window_sizes(text: str) -> tuple[int, ...]:
+    """Terms of a line that are compared with a template at once: as many as it has, and a quarter more."""
+    n = len(_terms(text))
+    return n, n + math.ceil(n / 4)
 
-    ``files`` is ``(key, text)``.  Ties: the first licence name.
+
+def line_windows(files: DataFrame, templates, vectors, threshold: float) -> DataFrame:
+    """``(key, template, window)``: runs of a line's terms that may reach ``threshold`` with a template.
+
+    A window that shares terms of squared weight below the threshold's square has a smaller
+    cosine, whatever else it holds, and is left out.  A line shorter than a window is one.
     """
     pattern = rf"(?i)\b({'|'.join(necessary_terms(vectors, threshold))})\b"
+    lines = (files.where(F.col("text").rlike(pattern)).select("key", F.explode(F.split("text", "\n")).alias("text"))
+             .where(F.col("text").rlike(pattern)).select("key", F.array_remove(F.split(F.lower("text"), GAP), "").alias("terms")))
+    least = threshold * threshold * (1 - 1e-9)
+    table = files.sparkSession.createDataFrame(
+        [(i, [(t, w * w) for t, w in sorted(vector.items())], necessary_terms([(i, name, vector)], threshold), size)
+         for i, name, vector in vectors for size in window_sizes(templates[i][1])],
+        "template int, weights array<struct<term: string, w: double>>, needed array<string>, size int")
+
+    def shared(terms: Column) -> Column:
+        hit = F.filter("weights", lambda x: F.array_contains(terms, x["term"]))
+        return F.aggregate(hit, F.lit(0.0), lambda a, x: a + x["w"])
+
+    # two rows a template
+    near = lines.crossJoin(F.broadcast(table)).where(shared(F.col("terms")) >= least)
+    last = F.greatest(F.lit(0), F.size("terms") - F.col("size"))
+    anchors = F.filter(F.sequence(F.lit(0), F.size("terms") - 1), lambda p: F.array_contains("needed", F.get("terms", p)))
+    starts = F.array_distinct(F.flatten(F.transform(anchors, lambda p: F.sequence(
+        F.least(last, F.greatest(F.lit(0), p - F.col("size") + 1)), F.least(last, p)))))
+    cut = near.select("key", "template", "size", "terms", "weights", F.explode(starts).alias("start")).select(
+        "key", "template", "weights", F.slice("terms", F.col("start") + 1, F.col("size")).alias("window"))
+    return cut.where(shared(F.col("window")) >= least).select("key", "template", "window").distinct()
+
+
+def line_matches(files: DataFrame, templates, vectors, idf: dict[str, float], n: int, threshold: float, ws: Workspace) -> DataFrame:
+    """``(key, licence, score)``: the best template of every file whose best window of a line reaches ``threshold``.
+
+    ``files`` is ``(key, text)``, ``n`` their number.  A window's terms weigh by their
+    document frequency over all files, as the templates' do.  Each distinct window is
+    scored once.  Ties: the first licence name.
+    """
     spark = files.sparkSession
-    lines = (files.where(F.col("text").rlike(pattern)).select("key", F.split("text", "\n").alias("lines"))
-             .select("key", F.posexplode("lines").alias("line", "text")).where(F.col("text").rlike(pattern)))
-    terms = lines.select("key", "line", F.explode(F.split(F.lower("text"), GAP)).alias("term")).where("term <> ''")
-    weights = terms.groupBy("key", "line", "term").agg(F.count("*").alias("tf"))
+    held = ws.stage("windows", line_windows(files, templates, vectors, threshold))
+    windows = held.select("template", "window").distinct()
+    terms = windows.select("template", "window", F.explode("window").alias("term")).groupBy("template", "window", "term").agg(
+        F.count("*").alias("tf"))
     known = spark.createDataFrame(sorted(idf.items()), "term string, idf double")
+    counts = files.select(F.explode(F.array_distinct(F.split(F.lower("text"), GAP))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    # both constants are built from the templates, some hundred rows
+    others = terms.select("term").distinct().join(F.broadcast(known), "term", "left_anti").join(counts, "term")
+    weighed = ws.stage("terms", others.select("term", (F.log((1 + n) / (1 + F.col("df"))) + 1).alias("idf")).union(known))
     table = spark.createDataFrame([(i, name, t, w) for i, name, vector in vectors for t, w in sorted(vector.items())],
                                   "template int, licence string, term string, w double")
-    # both are built from the template constants, some hundred rows
-    weights = weights.join(F.broadcast(known), "term", "left").select(
-        "key", "line", "term", (F.col("tf") * F.coalesce("idf", F.lit(unseen))).alias("v"))
-    norms = weights.groupBy("key", "line").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
-    dots = weights.join(F.broadcast(table), "term").groupBy("key", "line", "template", "licence").agg(
-        F.sum(F.col("v") * F.col("w")).alias("dot"))
-    scored = dots.join(norms, ["key", "line"]).select("key", "licence", F.round(F.col("dot") / F.col("norm"), 6).alias("score"))
-    best = scored.where(F.col("score") >= threshold).groupBy("key").agg(
+    v = (F.col("tf") * F.col("idf")).alias("v")
+    weights = terms.join(weighed, "term").select("template", "window", "term", v).join(F.broadcast(table.drop("licence")), ["template", "term"], "left")
+    scored = weights.groupBy("template", "window").agg(F.round(
+        F.sum(F.col("v") * F.coalesce("w", F.lit(0.0))) / F.sqrt(F.sum(F.col("v") * F.col("v"))), 6).alias("score")).where(F.col("score") >= threshold)
+    names = table.select("template", "licence").distinct()
+    best = held.join(scored, ["template", "window"]).join(F.broadcast(names), "template").groupBy("key").agg(
         F.min(F.struct((-F.col("score")).alias("less"), "licence")).alias("best"))
     return best.select("key", F.col("best.licence").alias("licence"), (-F.col("best.less")).alias("score"))
 
@@ -125,8 +165,8 @@ def license_scan(files: DataFrame, templates=TEMPLATES, threshold: float = 0.7,
                  path_col: str = "path", text_col: str = "text") -> DataFrame:
     """``(doc_id, path, own_license, own_score, license, inherited_from)`` of every file.
 
-    ``own_license``: the template of highest cosine with one of the file's lines, if at
-    least ``threshold``.  Files named like a licence file give their folder its licence
+    ``own_license``: the template of highest cosine with a run of terms of one of the
+    file's lines, of about the template's length, if at least ``threshold``.  Files named like a licence file give their folder its licence
     (several in one folder: the highest score, then the first name).  ``license``: the
     file's own, else that of the nearest folder above; ``inherited_from`` is that folder
     (empty text: the root).  NULL and empty texts have no own licence; a NULL path inherits
@@ -139,7 +179,8 @@ def license_scan(files: DataFrame, templates=TEMPLATES, threshold: float = 0.7,
     idf = {t: weight(df.get(t, 0)) for t in terms}
     key = row_key(id_col, path_col, text_col).alias("key")
     own = ws.stage("own", line_matches(files.select(key, F.col(text_col).alias("text")).where("text IS NOT NULL"),
-                                       template_vectors(templates, idf), idf, weight(0), threshold))
+                                       templates, template_vectors(templates, idf), idf, n, threshold, ws))
+    ws.drop("windows", "terms")
     rows = files.select(F.col(id_col).alias("id"), F.col(path_col).alias("path"), key, _folder(F.col(path_col)).alias("folder"))
     rows = rows.join(own, "key", "left").select("id", "path", "folder", "licence", "score")
     named = F.regexp_extract("path", "[^/]*$", 0).rlike(LICENCE_FILE)
