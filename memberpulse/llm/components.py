@@ -62,6 +62,6 @@ def connected_components(edges: DataFrame, ws: Workspace, prefix: str = "cc") ->
 
 def _signature(edges: DataFrame) -> tuple:
     """Edge count and an order-free checksum: equal signatures mean that a round changed nothing."""
-    row = edges.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40))),
-                    F.sum(F.pmod(F.xxhash64("b", "a"), F.lit(1 << 40)))).first()
+    row = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")),
+                    F.sum(F.xxhash64("b", "a").cast("decimal(20,0)"))).first()
     return tuple(row)

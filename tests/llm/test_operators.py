@@ -157,6 +157,11 @@ def test_zero_fingerprints_link_and_hubs_converge(spark):
     assert found == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 160)}}
 
 
+def test_signature_of_many_links_does_not_overflow(spark):
+    links = spark.range(20_000_000).selectExpr("id AS a", "0L AS b")
+    assert components._signature(links)[0] == 20_000_000
+
+
 # --- packing --------------------------------------------------------------------------------
 
 def test_packing_round_trip(spark, edges):
