@@ -63,3 +63,36 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest
   CASE WHEN n >= 1000 AND page_id <> kept THEN kept END AS refers_to
 FROM q
 """
+
+FILL_IN_MIDDLE = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || CAST(doc_id AS VARCHAR)) AS h FROM documents),
+u AS (SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS u, CAST('0x' || h[1:8] AS BIGINT) AS h1,
+        CAST('0x' || h[9:16] AS BIGINT) AS h2, CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+c AS (SELECT *, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+             WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT doc_id, t, form, len(u) AS n, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle,
+        array_to_string(u[b + 1:], '') AS suffix FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+         ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
+
+LEXICAL_SEARCH = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+i AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)),
+n AS (SELECT r, count(*) AS n FROM d GROUP BY r),
+s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM n),
+f AS (SELECT doc_id, r, term, count(*) AS tf FROM d WHERE term IN (SELECT term FROM i) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, s GROUP BY term, docs),
+m AS (SELECT doc_id, f.r, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // total))) AS x
+      FROM f JOIN w USING (term) JOIN n ON f.r = n.r, s),
+k AS (SELECT item_id, doc_id, r, CAST(sum(x) AS BIGINT) AS score FROM m JOIN i USING (term) GROUP BY ALL),
+o AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+      FROM k WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 50
+"""

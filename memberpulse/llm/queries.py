@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from memberpulse.llm import (decontaminate, language_id, license_scan, line_dedup, oracle, packing, quality_cascade, simhash,
-                             substring_dedup, toxicity, warc)
+from memberpulse.llm import (decontaminate, fill_in_middle, language_id, lexical_search, license_scan, line_dedup, oracle, packing,
+                             quality_cascade, simhash, substring_dedup, toxicity, warc)
 from memberpulse.llm.common import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,17 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                              table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return fill_in_middle.restore(cut).select(
+        F.col("row.doc_id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_language_id": op2_language_id,
@@ -88,6 +99,8 @@ QUERIES: dict[str, Query] = {
     "op8_warc": op8_warc,
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLE: dict[str, str] = {
@@ -95,4 +108,6 @@ ORACLE: dict[str, str] = {
     "op5_line_dedup": oracle.LINES,
     "op8_warc": oracle.WARC,
     "op9_decontamination": oracle.DECONTAMINATION,
+    "op12_fill_in_middle": oracle.FILL_IN_MIDDLE,
+    "op13_lexical_search": oracle.LEXICAL_SEARCH,
 }
