@@ -47,6 +47,28 @@ def row_key(*columns: str) -> Column:
     return F.xxhash64(*[F.col(c) for c in columns])
 
 
+def id_share(ids: DataFrame, bound: int, id_col: str = "id") -> DataFrame:
+    """The rows with the smallest id hashes, about ``bound`` distinct ids; all if there are fewer.  ``ids`` are distinct."""
+    share = min(1.0, bound / max(1, ids.count()))
+    return ids.where(F.pmod(F.xxhash64(id_col, F.lit("sample")), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
+def bounded_sample(rows: DataFrame, size: Column, bound: int, id_col: str = "id") -> pa.Table:
+    """The rows with the smallest id hashes whose sizes add up to ``bound`` at most, in that order, on the driver.
+
+    ``rows``: staged, one per id, some thousands.  Their sizes come first, so no more than
+    the bound (but at least one row) is brought over.
+    """
+    order = F.xxhash64(id_col, F.lit("bound"))
+    sizes = sorted(map(tuple, rows.select(order, size).collect()))
+    upto = np.cumsum([s for _, s in sizes], dtype=np.int64)
+    kept = max(1, int(np.searchsorted(upto, bound, side="right"))) if sizes else 0
+    held = rows.withColumn("sample_order", order)
+    if kept < len(sizes):
+        held = held.where(F.col("sample_order") < sizes[kept][0])
+    return held.toArrow().sort_by("sample_order").drop_columns(["sample_order"])
+
+
 def utf8(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column, without decoding."""
     return column.cast(pa.large_string()).cast(pa.large_binary()).to_pylist()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from memberpulse.llm import (decontaminate, fill_in_middle, language_id, lexical_search, license_scan, line_dedup, oracle, packing,
-                             quality_cascade, simhash, substring_dedup, toxicity, warc)
+                             quality_cascade, quality_classifier, simhash, substring_dedup, toxicity, warc)
 from memberpulse.llm.common import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                              table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.quality(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")).select(
+        F.col("row.doc_id").alias("doc_id"), "held_out", "score", "predicted")
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return fill_in_middle.restore(cut).select(
@@ -99,6 +104,7 @@ QUERIES: dict[str, Query] = {
     "op8_warc": op8_warc,
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
+    "op11_quality_classifier": op11_quality_classifier,
     "op12_fill_in_middle": op12_fill_in_middle,
     "op13_lexical_search": op13_lexical_search,
 }

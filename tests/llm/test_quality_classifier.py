@@ -1,0 +1,141 @@
+"""Quality classifier: features and scores against plain loops, the gradient, edge cases, held-out accuracy."""
+
+from __future__ import annotations
+
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from test_operators import DOCS, LABELS, clashing, edge_rows, sentence
+
+from memberpulse.llm import quality_classifier as quality
+from memberpulse.llm.common import word_hashes
+from memberpulse.llm.queries import QUERIES
+
+MASK = (1 << 64) - 1
+
+
+def hash_of(word: bytes) -> int:
+    return int(word_hashes(np.frombuffer(word, np.uint8), np.array([0]), np.array([len(word)]))[0])
+
+
+def bucket_of(h: int) -> int:
+    return int(quality._bucket(np.array([h & MASK], np.uint64))[0])
+
+
+def plain_features(text: str) -> Counter:
+    """Words, n-grams of ``<word>`` and pairs, one by one."""
+    words = [w for w in text.encode().translate(bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")).split(b" ") if w]
+    out: Counter = Counter()
+    for w in words:
+        out[bucket_of(hash_of(w))] += 1
+        marked = f"<{w.decode()}>"
+        for n in quality.GRAMS:
+            for i in range(len(marked) - n + 1):
+                h = 0
+                for c in marked[i: i + n]:
+                    h = (h * 0x9E3779B97F4A7C15 + ord(c) + 1) & MASK
+                out[bucket_of(h + n)] += 1
+    for a, b in zip(words, words[1:]):
+        out[bucket_of(int(quality.SAME_WORD) if a == b else hash_of(a) * 0xD6E8FEB86659FD93 + hash_of(b))] += 1
+    return out
+
+
+TEXTS = ["one two two three", "", " \n ", "ünï çôdé 漢字 😀 x", "a", "same same same\tsame", "The | end! THE END!!", "long " + "w" * 500]
+
+
+def test_features_equal_plain_loops():
+    texts = [t.encode() for t in TEXTS] + [None]
+    doc, bucket, count = quality.document_counts(texts)
+    for i, t in enumerate([*TEXTS, ""]):
+        assert dict(zip(bucket[doc == i].tolist(), count[doc == i].tolist())) == dict(plain_features(t))
+
+
+def test_scores_equal_the_mean_of_plain_features():
+    rng = np.random.default_rng(2)
+    buckets = np.unique(np.concatenate([np.array(sorted(plain_features(t)), np.int64) for t in TEXTS]))[::2]
+    model = quality.Model((0, 1, 5), buckets, rng.normal(size=(3, len(buckets))).astype(np.float32), rng.normal(size=3))
+    dense = model.dense()
+    got = quality.probabilities(model, dense, [t.encode() for t in TEXTS] + [None])
+    for row, t in zip(got, [*TEXTS, ""]):
+        found = plain_features(t)
+        z = model.bias + sum(n * dense[:, b].astype(float) for b, n in found.items()) / max(1, sum(found.values()))
+        e = np.exp(z - z.max())
+        assert row == pytest.approx(e / e.sum(), abs=1e-9)
+
+
+def test_step_follows_the_numeric_gradient():
+    rng = np.random.default_rng(3)
+    vectors, layer, bias = rng.normal(size=(9, 4)), rng.normal(size=(4, 3)), rng.normal(size=3)
+    bucket, share = np.array([1, 4, 7]), np.array([0.5, 0.3, 0.2])
+
+    def loss() -> float:
+        return float(-np.log(quality.forward(vectors, layer, bias, bucket, share)[1][2]))
+
+    numeric = []
+    for block in (vectors, layer, bias):
+        g = np.zeros_like(block)
+        for at in np.ndindex(block.shape):
+            keep, eps = block[at], 1e-6
+            block[at] = keep + eps
+            up = loss()
+            block[at] = keep - eps
+            g[at] = (up - loss()) / (2 * eps)
+            block[at] = keep
+        numeric.append(g)
+    before = [b.copy() for b in (vectors, layer, bias)]
+    quality.sgd_step(vectors, layer, bias, bucket, share, 2, 1e-3)
+    for was, now, g in zip(before, (vectors, layer, bias), numeric):
+        assert (was - now) / 1e-3 == pytest.approx(g, abs=1e-6)
+
+
+def test_edge_tables(spark):
+    docs = spark.createDataFrame(edge_rows(), DOCS)
+    labels = spark.createDataFrame([(4, 1, 1), (8, 1, 0), (None, 1, 1), (20, None, None), (21, 0, 1), (21, 0, 0), (22, 0, 0)], LABELS)
+    out = quality.quality(clashing(docs), labels).collect()
+    assert Counter(r["row"]["doc_id"] for r in out) == Counter(r[0] for r in edge_rows())
+    assert all(r["row"]["score"] == "x" and 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in out)
+    same = [r["score"] for r in out if r["row"]["doc_id"] in (4, 5)]
+    assert same[0] == same[1]
+    empty = {r["score"] for r in out if not (r["row"]["text"] or "").strip()}
+    assert len(empty) == 1
+    assert {r["held_out"] for r in out if r["row"]["doc_id"] is None} == {False}
+    assert quality.quality(docs.limit(0), labels).count() == 0
+    assert {r["score"] for r in quality.quality(docs, labels.limit(0)).collect()} == {0.0}
+
+
+def test_training_rows_are_bounded_by_id_and_size(spark):
+    """One labelled id with most of all rows is one training row; the features brought over stay under their bound."""
+    rng = random.Random(8)
+    rows = [(1, sentence(rng, 30)) for _ in range(500)] + [(i, sentence(rng, 40)) for i in range(2, 120)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 120)], LABELS)
+    seen = []
+
+    def spy(lists, targets, classes, **_):
+        seen.append((len(lists), sum(len(b) for b, _ in lists)))
+        return None
+
+    from pyspark.sql import functions as F
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(quality, "fit", spy)
+        quality.train(docs, labels, F.lit(True))
+        quality.train(docs, labels, F.lit(True), sample_features=5000)
+        quality.train(docs, labels, F.lit(True), sample=20)
+    assert seen[0][0] == 119
+    assert 0 < seen[1][1] <= 5000
+    assert 0 < seen[2][0] <= 40
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    got = QUERIES["op11_quality_classifier"](spark, sf).toPandas().set_index("doc_id")
+    labels = spark.read.parquet(f"{sf}/labels.parquet").where("quality IS NOT NULL").toPandas().set_index("doc_id")
+    assert len(got) == spark.read.parquet(f"{sf}/documents.parquet").count()
+    assert all(got.held_out == [zlib.crc32(str(i).encode()) % 5 == 0 for i in got.index])
+    held = got.join(labels, how="inner")
+    held = held[held.held_out]
+    assert len(held) > 50
+    assert (held.predicted == held.quality).mean() >= 0.97
