@@ -147,7 +147,7 @@ def fit(lists: list[tuple[np.ndarray, np.ndarray]], targets: np.ndarray, classes
     return Model(classes, touched, (vectors @ layer).T.astype(np.float32), bias)
 
 
-def train(docs: DataFrame, labels: DataFrame, fold: Column, sample: int = 3000, sample_features: int = 12_000_000,
+def train(docs: DataFrame, labels: DataFrame, fold: Column, sample: int = 2000, sample_features: int = 6_000_000,
           id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", **options) -> Model | None:
     """Fit on about ``sample`` labelled documents with at most ``sample_features`` (bucket, count) pairs.
 
