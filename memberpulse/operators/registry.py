@@ -114,7 +114,7 @@ def sync(registry: DataFrame, members: DataFrame, now) -> DataFrame:
     j = t.join(s, F.col("t.email") == F.col("s.email"), "full")
     in_t = F.coalesce(F.col("t._t"), F.lit(False))
     in_s = F.coalesce(F.col("s._s"), F.lit(False))
-    was_active = in_t & (F.col("t.status") == ACTIVE)
+    was_active = in_t & F.coalesce(F.col("t.status") == ACTIVE, F.lit(False))     # a row without a status isn't active
     upserted = in_s & ~was_active
     deleted = was_active & ~in_s & F.col("t.email").isNotNull()      # a NULL email is in no list of missing ones
     email = F.when(in_t, F.col("t.email")).otherwise(F.col("s.email"))
@@ -125,3 +125,44 @@ def sync(registry: DataFrame, members: DataFrame, now) -> DataFrame:
                 "updated_at": F.when(upserted | deleted, ts).otherwise(F.col("t.updated_at")),
                 "status": F.when(upserted, F.lit(ACTIVE)).when(deleted, F.lit(DELETED)).otherwise(F.col("t.status"))}
     return j.select(*_next(registry, columns))
+
+
+def sync_changes(registry: DataFrame, flat_members: DataFrame) -> DataFrame:
+    """What ``sync`` would change: ``(email, label, note, status)``, a row per email that becomes active or deleted.
+
+    ``flat_members``: as ``members_flat`` gives them.  An email that the dump repeats and
+    that would become active fails the job (T16).
+    """
+    grouped = flat_members.groupBy("email").agg(F.count("*").alias("_n"), F.any_value("label").alias("label"),
+                                                F.any_value("note").alias("note"))
+    held = registry.groupBy("email").agg(F.bool_or(F.col("status") == ACTIVE).alias("_some"),
+                                         F.bool_and(F.coalesce(F.col("status") == ACTIVE, F.lit(False))).alias("_all"))
+    t, s = held.withColumn("_t", F.lit(True)).alias("t"), grouped.alias("s")
+    j = t.join(s, F.col("t.email") == F.col("s.email"), "full")
+    in_s = F.col("s._n").isNotNull()
+    becomes_active = in_s & ~F.coalesce(F.col("t._all"), F.lit(False))
+    becomes_deleted = ~in_s & F.coalesce(F.col("t._some"), F.lit(False)) & F.col("t.email").isNotNull()
+    email = F.coalesce(F.col("s.email"), F.col("t.email"))
+    checked = F.when(becomes_active & (F.col("s._n") > 1), F.raise_error(
+        F.concat(F.lit("member dump repeats email "), F.col("s.email")))).otherwise(email)
+    return j.where(becomes_active | becomes_deleted).select(
+        checked.alias("email"), "s.label", "s.note", F.when(becomes_active, ACTIVE).otherwise(DELETED).alias("status"))
+
+
+def apply_changes(registry: DataFrame, changes: DataFrame, now) -> DataFrame:
+    """The next snapshot of registry rows under :func:`sync_changes`: equal to ``sync`` of them.
+
+    Of rows with one email only those not yet of the new status change; a new email is inserted.
+    """
+    ts = truncate_now(now)
+    t = registry.withColumn("_t", F.lit(True)).alias("t")
+    j = t.join(changes.alias("s"), F.col("t.email") == F.col("s.email"), "full")
+    in_t = F.coalesce(F.col("t._t"), F.lit(False))
+    was_active = F.coalesce(F.col("t.status") == ACTIVE, F.lit(False))
+    hit = ((F.col("s.status") == ACTIVE) & ~was_active) | ((F.col("s.status") == DELETED) & was_active)
+    hit = F.coalesce(hit, F.lit(False))
+    columns = {c: F.when(in_t, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}")) for c in ("email", "label", "note")}
+    columns |= {"created_at": F.when(in_t, F.col("t.created_at")).otherwise(ts),
+                "updated_at": F.when(hit, ts).otherwise(F.col("t.updated_at")),
+                "status": F.when(hit, F.col("s.status")).otherwise(F.col("t.status"))}
+    return j.select(*_next(registry, columns))

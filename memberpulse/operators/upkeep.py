@@ -7,7 +7,7 @@ of outcomes (ids confirmed deleted, emails whose invite failed).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from memberpulse.functions.predicates import has_label_other_than, inactive_member
@@ -54,34 +54,42 @@ def invite_order(seed: str) -> Column:
     return F.md5(F.concat(F.col("email"), F.lit(str(seed))))
 
 
-def first_n_by_hash(df: DataFrame, key: str, tie: str, n: int) -> DataFrame:
+def first_n_by_hash(df: DataFrame, key: Column, tie: str, n: int) -> DataFrame:
     """The ``n`` rows with the smallest hex hash ``key`` (ties by ``tie``), at any size the same way.
 
-    Rows are counted per bucket of leading hash digits (at most 16 ** BUCKET_DIGITS rows,
-    a bounded broadcast); buckets wholly below the cut are taken unsorted, and only the
-    bucket that the cut goes through is ranked.
+    Rows are counted per bucket of leading hash digits (at most 16 ** BUCKET_DIGITS counts,
+    brought to the driver); they give the cut as a literal.  One pass then takes all rows
+    below it, and of the one bucket that the cut goes through the first few by a top-k: no
+    join, and no sort of the rows that are taken whole.
     """
-    keyed = df.withColumn("_bucket", F.substring(key, 1, BUCKET_DIGITS))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    counts = keyed.groupBy("_bucket").agg(F.count("*").alias("_rows")).select(
-        "_bucket", "_rows", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")).where(F.col("_before") < n)
-    near = keyed.join(F.broadcast(counts), "_bucket")
-    whole = F.col("_before") + F.col("_rows") <= n
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(key, tie))
-    cut = near.where(~whole).withColumn("_rank", rank).where(F.col("_before") + F.col("_rank") <= n)
-    return near.where(whole).select(*df.columns).union(cut.select(*df.columns))
+    bucket = F.substring(key, 1, BUCKET_DIGITS)
+    counts = df.groupBy(bucket.alias("bucket")).count().collect()
+    left, cut = n, None
+    for b, rows in sorted((r["bucket"], r["count"]) for r in counts):
+        if rows > left:
+            cut = b
+            break
+        left -= rows
+    if cut is None:
+        return df
+    whole = df.where(bucket < cut)
+    if not left:
+        return whole
+    return whole.union(df.where(bucket == cut).orderBy(key, tie).limit(left))
 
 
 def invite_batch(registry: DataFrame, n: int, seed: str) -> DataFrame:
     """OP12: ``n`` pending registry rows in a seeded uniform random order, as invite payloads.
 
-    Rows of equal hash are taken by email.  Payload: email, labels [{name: label,
-    slug: lower(label)}], note ('' when NULL) (PRJ7).
+    Rows of equal hash are taken by email; the result itself is in no order.  A pending row
+    without an email can't be invited and fails the job (T17).  Payload: email, labels
+    [{name: label, slug: lower(label)}], note ('' when NULL) (PRJ7).
     """
     if n < 0:
         raise ValueError("n must be >= 0")
-    pending = registry.where(F.col("status") == PENDING).withColumn("_key", invite_order(seed))
-    picked = first_n_by_hash(pending, "_key", "email", int(n)).orderBy("_key", "email")
+    email = F.when(F.col("email").isNull(), F.raise_error(F.lit("pending registry row without email"))).otherwise(F.col("email"))
+    pending = registry.where(F.col("status") == PENDING).select(email.alias("email"), "label", "note")
+    picked = first_n_by_hash(pending, invite_order(seed), "email", int(n))
     return picked.select(
         "email",
         F.array(F.struct(F.col("label").alias("name"), F.lower("label").alias("slug"))).alias("labels"),

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from memberpulse import schemas
+from memberpulse.functions import temporal as tm
 from memberpulse.operators import audience as aud
 from memberpulse.operators import engagement as eng
 from memberpulse.operators import membership as mem
@@ -24,6 +25,7 @@ from memberpulse.plans import oracle as sql
 from memberpulse.session import shared_dir
 from memberpulse.sources import fixtures as fx
 from memberpulse.sources import readers as rd
+from memberpulse.sources import registry_table as rt
 from memberpulse.sources import sinks as sk
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,15 +99,22 @@ def revenue_subcent_by_week(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lenient_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FN1: order times written in eight forms (one of them no date), read back leniently."""
+    """FN1: order times written in thirteen forms (one of them no date), read back leniently."""
     k = F.col("o_orderkey")
     at = F.col("o_orderdate").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), (k % 24).cast("int"))
-    forms = [F.date_format(at, f) for f in ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd HH:mm:ss' Asia/Seoul'",
-                                            "yyyy-MM-dd HH:mm:ss'+02:00'", "yyyy/MM/dd HH:mm", "dd-MMM-yyyy", "yyyyMMdd")]
-    text = F.element_at(F.array(*forms, F.lit("not a date")), (k % 8 + 1).cast("int"))
+    forms = [F.date_format(at, f) for f in (
+        "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd HH:mm:ss' Asia/Seoul'", "yyyy-MM-dd HH:mm:ss'+02:00'",
+        "yyyy/MM/dd HH:mm", "dd-MMM-yyyy", "yyyyMMdd", "MMMM d, yyyy h:mm a", "MM/dd/yyyy HH:mm:ss", "yyyyMMdd'T'HHmmss",
+        "EEEE, d MMMM yyyy HH:mm", "M/d/yyyy h:mm:ss a")]
+    text = F.element_at(F.array(*forms, F.lit("not a date")), (k % 13 + 1).cast("int"))
     return fx.table(spark, sf_dir, "orders").select("o_orderkey", rd.lenient_timestamp(text).alias("parsed"))
 
 
+def dates_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FN9: the memberships' periods and local times as text."""
+    return tm.dates_to_text(membership_periods(spark, sf_dir), fx.TZ).drop("amount", "refund")
+
+
 def member_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aud.member_stats(fx.members(spark, sf_dir), fx.AS_OF, fx.TZ)
 
@@ -243,40 +252,102 @@ def kpi_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(target).parquet(path)
 
 
+def report_publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK1: publish the weekly report three times as versions, the first time without its last rows, and read it."""
+    target = f"{shared_dir(spark)}/weekly_report"
+    report = _report(mem.WEEK)(spark, sf_dir).persist()      # computed once for the writes
+    for rows in (report.limit(10), report, report):
+        sk.publish_report(rows, target)
+    report.unpersist()
+    return sk.read_report(spark, target)
+
+
+def _scratch_database(spark: SparkSession) -> str:
+    """A database of this call's own, its tables in the shared folder."""
+    path = shared_dir(spark)
+    name = "memberpulse_" + path.rsplit("/", 1)[1]
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{path}'")
+    return name
+
+
+def kpi_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK2: two run dates into the partitions of a catalog table by name; re-running one leaves the other intact."""
+    name = f"{_scratch_database(spark)}.member_statistics"
+    columns = ", ".join(c.strip() for c in MEMBER_STATS_SCHEMA.split(","))
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (date)")
+    members = fx.members(spark, sf_dir)
+    for as_of in (fx.AS_OF, fx.PREV_AS_OF, fx.AS_OF):
+        sk.overwrite_partitions(aud.member_stats(members, as_of, fx.TZ), name, "date")
+    return spark.table(name)
+
+
+def registry_table_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK4, SNK5 in place: the registry as a bucketed table, synced twice with the dump (the second time nothing changes)."""
+    name = f"{_scratch_database(spark)}.registry"
+    rt.create_registry_table(_wide_registry(spark, sf_dir), name, parts=16, buckets=8)
+    members = fx.members(spark, sf_dir)
+    rt.sync(spark, name, members, fx.NOW)
+    rt.sync(spark, name, members, "2030-01-01 00:00:00")
+    return rt.registry_rows(spark, name)
+
+
+def registry_table_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK4, SNK5 in place: new members upserted into the bucketed registry table, a part of its partitions rewritten."""
+    name = f"{_scratch_database(spark)}.registry"
+    registry = _wide_registry(spark, sf_dir)
+    rt.create_registry_table(registry, name, parts=16, buckets=8)
+    new, _ = reg.registry_diff(fx.members(spark, sf_dir), registry)
+    rt.upsert(spark, name, new, fx.NOW)
+    return rt.registry_rows(spark, name)
+
+
 def raw_archive_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK3: archive the landed member dump as it is, undeclared fields included, read it back."""
+    """SNK3: archive the landed member dump, undeclared fields and CRLF pages included; digests are checked, rows read back."""
     root = shared_dir(spark)
-    fx.members(spark, sf_dir).withColumn("uuid", F.md5("id")).write.json(f"{root}/landed")
+    members = fx.members(spark, sf_dir).withColumn("uuid", F.md5("id"))
+    members.where(fx.member_number() % 2 == 0).write.json(f"{root}/landed/lf")
+    members.where(fx.member_number() % 2 == 1).write.option("lineSep", "\r\n").json(f"{root}/landed/crlf")
     path = sk.archive_raw(spark, f"{root}/landed", root, fx.AS_OF, "members.json")
-    raw = spark.read.schema(schemas.as_text_timestamps(schemas.MEMBERS).add("uuid", "string")).json(path)
+    if sk.check_archive(spark, path).where(~F.col("intact") & F.col("file").endswith(".json")).count():
+        raise OSError(f"{path} differs from its manifest")
+    raw = spark.read.option("recursiveFileLookup", True).schema(schemas.as_text_timestamps(schemas.MEMBERS).add("uuid", "string")).json(path)
     return _flat_members(raw.withColumns({c: rd.lenient_timestamp(F.col(c))
                                           for c in ("created_at", "last_seen_at")}), "uuid")
 
 
 def _land_memberships(rows: DataFrame, root: str) -> None:
     """The day's CSV, columns in another order: header names decide, not places."""
-    (rows.select(*reversed(rows.columns)).write.mode("overwrite").option("header", True)
+    (rows.select(*reversed(rows.columns)).write.mode("overwrite").option("header", True).option("escape", '"')
      .csv(rd.membership_csv_path(root, fx.AS_OF)))
 
 
 def membership_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC1: land the memberships as the day's CSV, read it back with lenient dates and text identities."""
+    """SRC1: land the memberships as the day's CSV, read it back with lenient dates and text identities.
+
+    Every seventh row has a comment of two lines with quotes and a comma, in a column that is not read.
+    """
     root = shared_dir(spark)
-    _land_memberships(fx.memberships(spark, sf_dir).withColumn("identity", F.concat(F.lit("u"), "identity")), root)
+    comment = F.when(F.col("row_id") % 7 == 0, F.lit('said "yes",\nthen left\r\n')).otherwise(F.lit("none"))
+    rows = fx.memberships(spark, sf_dir).withColumn("identity", F.concat(F.lit("u"), "identity"))
+    _land_memberships(rows.withColumn("comment", comment), root)
     return rd.read_memberships_csv(spark, root, fx.AS_OF)
 
 
+def _land_pages(pages: DataFrame, field: str, path: str) -> None:
+    """``(page, field)`` rows from page 0 on, as numbered documents and an empty last page."""
+    last = pages.agg((F.max("page") + 2).alias("page"), F.max(F.slice(field, 1, 0)).alias(field))
+    pages.select((F.col("page") + 1).alias("page"), field).unionByName(last).write.json(path)
+
+
 def _land_member_pages(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """The member dump as pages plus an empty last page."""
+    """The member dump as numbered pages plus an empty last page."""
     members = _member_pages(fx.members(spark, sf_dir))
     fields = [c for c in members.columns if c != "page"]
-    pages = members.groupBy("page").agg(F.collect_list(F.struct(*fields)).alias("members")).select("members")
-    empty = spark.range(1).select(F.array().cast(pages.schema["members"].dataType).alias("members"))
-    pages.unionByName(empty).write.json(path)
+    _land_pages(members.groupBy("page").agg(F.collect_list(F.struct(*fields)).alias("members")), "members", path)
 
 
 def member_pages_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC2: land the member dump as pages, read it back."""
+    """SRC2: land the member dump as numbered pages, read it back whole."""
     path = f"{shared_dir(spark)}/member_pages"
     _land_member_pages(spark, sf_dir, path)
     return _flat_members(rd.read_member_pages(spark, path))
@@ -285,11 +356,11 @@ def member_pages_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _land_post_pages(spark: SparkSession, sf_dir: str, path: str) -> None:
     posts = fx.newsletters(spark, sf_dir).withColumn("page", F.floor(F.col("title").substr(6, 20).cast("bigint") / 100))
     fields = [c for c in posts.columns if c != "page"]
-    posts.groupBy("page").agg(F.collect_list(F.struct(*fields)).alias("posts")).select("posts").write.json(path)
+    _land_pages(posts.groupBy("page").agg(F.collect_list(F.struct(*fields)).alias("posts")), "posts", path)
 
 
 def post_pages_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC3: land the post dump as pages, read it back, select the week's newsletters."""
+    """SRC3: land the post dump as numbered pages, read it back whole, select the week's newsletters."""
     path = f"{shared_dir(spark)}/post_pages"
     _land_post_pages(spark, sf_dir, path)
     weekly = nl.weekly_newsletters(rd.read_post_pages(spark, path), fx.AS_OF, fx.TZ)
@@ -381,6 +452,11 @@ QUERIES: dict[str, Query] = {
     "report_overwrite_roundtrip": report_overwrite_roundtrip,
     "kpi_partition_roundtrip": kpi_partition_roundtrip,
     "raw_archive_roundtrip": raw_archive_roundtrip,
+    "report_publish_roundtrip": report_publish_roundtrip,
+    "kpi_table_roundtrip": kpi_table_roundtrip,
+    "registry_table_sync": registry_table_sync,
+    "registry_table_changes": registry_table_changes,
+    "dates_as_text": dates_as_text,
     "membership_csv_roundtrip": membership_csv_roundtrip,
     "member_pages_roundtrip": member_pages_roundtrip,
     "post_pages_roundtrip": post_pages_roundtrip,
@@ -476,10 +552,19 @@ ORACLE: dict[str, str] = {
             FROM (SELECT week_start_date, coalesce(sum(CAST(amount / 1000 AS DECIMAL(28, 8))), 0) AS paid,
                     coalesce(sum(CAST(refund / 1000 AS DECIMAL(28, 8))), 0) AS back
                   FROM {_MP} WHERE week_start_date IS NOT NULL GROUP BY 1) s""", _MP),
-    "lenient_dates": """SELECT o_orderkey, CASE o_orderkey % 8
+    "lenient_dates": """SELECT o_orderkey, CASE o_orderkey % 13
               WHEN 2 THEN wall - INTERVAL 9 HOUR WHEN 3 THEN wall - INTERVAL 2 HOUR
-              WHEN 5 THEN date_trunc('day', wall) WHEN 6 THEN date_trunc('day', wall) WHEN 7 THEN NULL ELSE wall END AS parsed
+              WHEN 5 THEN date_trunc('day', wall) WHEN 6 THEN date_trunc('day', wall) WHEN 12 THEN NULL ELSE wall END AS parsed
             FROM (SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) + to_hours(o_orderkey % 24) AS wall FROM orders) o""",
+    "dates_as_text": sql.compose(
+        f"""SELECT row_id, "identity", payment_status, strftime(week_start_date, '%Y-%m-%d') AS week_start_date,
+              strftime(year_month_date, '%Y-%m-%d') AS year_month_date,
+              {", ".join(f"strftime({c} + INTERVAL 9 HOUR, '%Y-%m-%d %H:%M:%S') || '+09:00' AS {c}"
+                         for c in ("signup_date", "payment_date", "churn_date"))}
+            FROM {_MP}""", _MP),
+    "report_publish_roundtrip": sql.member_report_sql("week_start_date"),
+    "kpi_table_roundtrip": sql.compose(
+        sql.member_stats_body(sql.AS_OF) + " UNION ALL " + sql.member_stats_body(sql.PREV_AS_OF), "members"),
     "wau_from_days": sql.active_users_sql("week"),
     "mau_from_days": sql.active_users_sql("month"),
     "wau_from_tables": sql.active_users_sql("week"),
@@ -514,3 +599,4 @@ ORACLE: dict[str, str] = {
             LIMIT (SELECT (SELECT count(*) FROM members) + (SELECT count(*) FROM deleted_ids))) i""",
         "marked", "cand", "deleted_ids"),
 }
+ORACLE |= {"registry_table_sync": ORACLE["registry_sync"], "registry_table_changes": ORACLE["registry_upsert"]}

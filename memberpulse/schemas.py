@@ -30,6 +30,10 @@ MEMBERSHIPS_CSV = T.StructType([
     for f in MEMBERSHIPS.fields
 ])
 
+# Texts that a membership CSV uses for no value.
+NA_TEXTS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+            "NULL", "NaN", "None", "n/a", "nan", "null")
+
 APP_EVENTS = T.StructType([
     T.StructField("event_time_utc", T.TimestampNTZType()),
     T.StructField("email", T.StringType()),
@@ -68,7 +72,7 @@ def as_text_timestamps(schema: T.StructType) -> T.StructType:
     ])
 
 
-# One landed page of the member dump (SRC2): {"members": [...]}; last page empty.
+# One landed page of the member dump (SRC2): {"page": n, "members": [...]}; last page empty.
 MEMBER_PAGE = T.StructType([T.StructField("members", T.ArrayType(as_text_timestamps(MEMBERS)))])
 
 NEWSLETTERS = T.StructType([
@@ -99,5 +103,3 @@ REGISTRY = T.StructType([
 
 # SRC8: the element type of the JSON array handed to the registry upsert.
 UPSERT_RECORD = "array<struct<email:string,label:string,note:string>>"
-
-REGISTRY_STATUSES = ("pending", "active", "failed", "deleted")

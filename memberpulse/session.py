@@ -79,8 +79,30 @@ def shared_dir(spark: SparkSession) -> str:
 
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a staged folder in whatever store Spark reaches it."""
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def _file_system(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it isn't there."""
+    fs, p = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as a URI with its store's scheme and authority."""
+    fs, p = _file_system(spark, path)
+    return fs.makeQualified(p).toUri().toString()
 
 
 def replace_path(spark: SparkSession, new: str, target: str) -> None:

@@ -24,7 +24,6 @@ SEED = "7"
 INVITE_BATCH = 20
 MEMBER_PAGE_SIZE = 100             # members per landed page / per JSON array
 TZ = "Asia/Seoul"
-JOIN_SALTS = 8                     # tasks that share one customer's orders
 
 
 def active_use() -> Column:
@@ -73,9 +72,9 @@ def memberships(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``memberships`` from ``orders``: one row per order, ``row_id`` = file order.
 
     A customer's first order (by date, then key) is the smallest of one long per order,
-    day and key packed, so it is found by a hash aggregate with map-side combine.  The
-    join back is salted: a customer owning a third of all orders is spread over
-    JOIN_SALTS tasks.
+    day and key packed, so it is found by a hash aggregate with map-side combine.  In the
+    join back a customer owning a third of all orders is split by AQE's skew join, which the
+    library's session forces even where that costs the next aggregate a shuffle.
     """
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
@@ -85,9 +84,7 @@ def memberships(spark: SparkSession, sf_dir: str) -> DataFrame:
              .agg(F.min(F.shiftleft(day, key_bits) + F.col("o_orderkey")).alias("f"))
              .select("o_custkey",
                      F.date_from_unix_date(F.shiftright("f", key_bits).cast("int")).cast("timestamp_ntz").alias("first_dt"),
-                     F.col("f").bitwiseAND(F.lit((1 << key_bits) - 1)).alias("first_key"),
-                     F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))).alias("salt")))
-    o = o.withColumn("salt", F.pmod(F.xxhash64("o_orderkey"), F.lit(JOIN_SALTS)).cast("int"))
+                     F.col("f").bitwiseAND(F.lit((1 << key_bits) - 1)).alias("first_key")))
     k = F.col("o_orderkey")
     is_first = k == F.col("first_key")
     status = (F.when(is_first & (k % 3 == 0), "signup")
@@ -97,7 +94,7 @@ def memberships(spark: SparkSession, sf_dir: str) -> DataFrame:
               .when(k % 4 == 0, "churn")
               .when(k % 4 == 1, "refunded")
               .otherwise("paid"))
-    rows = o.join(first, ["o_custkey", "salt"]).select(
+    rows = o.join(first, "o_custkey").select(
         k.alias("row_id"), F.col("o_custkey").alias("identity"), status.alias("payment_status"),
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "first_dt")
     st = F.col("payment_status")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL, d, plan_text, rows, ts
-from memberpulse.plans import jobs
+from memberpulse.plans import catalog, jobs
 from memberpulse.operators import engagement, membership
 from memberpulse.plans.catalog import QUERIES
 from memberpulse.sources import fixtures as fx
@@ -65,12 +65,12 @@ def test_membership_csv_without_a_column_or_an_order_fails(spark, scratch):
         rd.read_memberships_csv(spark, scratch, "2024-01-23")
 
 
-@pytest.mark.parametrize("page", ['{"members": [{"id": "m1", "email": "a@x"', '{"errors": [{"message": "no"}]}',
-                                  '{"members": [{"id": "m1", "email": "a@x", "created_at": "yesterday"}]}'])
+@pytest.mark.parametrize("page", ['{"page": 2, "members": [{"id": "m1", "email": "a@x"', '{"page": 2, "errors": [{"message": "no"}]}',
+                                  '{"page": 2, "members": [{"id": "m1", "email": "a@x", "created_at": "yesterday"}]}'])
 def test_bad_pages_fail(spark, scratch, page):
-    """A truncated page, an error answer and a bad timestamp fail, beside a good page too."""
+    """A truncated page, an error answer and a bad timestamp fail, beside good pages too."""
     with open(f"{scratch}/1.json", "w") as f:
-        f.write('{"members": [{"id": "m2", "email": "b@x"}]}\n')
+        f.write('{"page": 1, "members": [{"id": "m2", "email": "b@x"}]}\n{"page": 3, "members": []}\n')
     with open(f"{scratch}/2.json", "w") as f:
         f.write(page + "\n")
     with pytest.raises(Exception):
@@ -81,7 +81,7 @@ def test_pretty_printed_page_and_raw_archive(spark, scratch):
     text = json.dumps({"members": [{"id": "m1", "email": "a@x", "uuid": "u", "tiers": [1]}]}, indent=1)
     with open(f"{scratch}/1.json", "w") as f:
         f.write(text)
-    assert [r["id"] for r in rows(rd.read_member_pages(spark, f"{scratch}/1.json", multi_line=True))] == ["m1"]
+    assert [r["id"] for r in rows(rd.read_member_pages(spark, f"{scratch}/1.json", multi_line=True, page=None))] == ["m1"]
     path = sk.archive_raw(spark, f"{scratch}/1.json", f"{scratch}/raw", "2024-01-22", "members.json")
     assert "\n".join(r["value"] for r in spark.read.text(path).collect()) == text     # undeclared fields included
 
@@ -94,14 +94,14 @@ def test_schema_drift_fails(spark):
 
 
 def test_member_pages_with_empty_last_page(spark, scratch):
-    page = {"members": [{"id": "m1", "email": "a@x", "labels": [{"name": "English", "slug": "english"}],
+    page = {"page": 1, "members": [{"id": "m1", "email": "a@x", "labels": [{"name": "English", "slug": "english"}],
                          "subscribed": True, "email_suppression": {"suppressed": False},
                          "email_count": 3, "created_at": "2024-01-01T00:00:00.000Z"},
                         {"id": "m2", "email": "b@x", "labels": [], "note": "n"}]}
     with open(f"{scratch}/page1.json", "w") as f:
         f.write(json.dumps(page) + "\n")
     with open(f"{scratch}/page2.json", "w") as f:
-        f.write(json.dumps({"members": []}) + "\n")
+        f.write(json.dumps({"page": 2, "members": []}) + "\n")
     got = rows(rd.read_member_pages(spark, scratch), "id")
     assert [r["id"] for r in got] == ["m1", "m2"]
     assert got[0]["created_at"] == ts("2024-01-01 00:00:00") and got[1]["subscribed"] is None
@@ -166,10 +166,7 @@ def test_registry_scan_pushes_status_and_projection(spark, scratch):
 
 
 def _land_member_pages(spark, sf_dir, path):
-    members = fx.members(spark, sf_dir)
-    (members.withColumn("page", F.floor(fx.member_number() / 100)).groupBy("page")
-     .agg(F.collect_list(F.struct(*members.columns)).alias("members")).select("members")
-     .write.json(path))
+    catalog._land_member_pages(spark, sf_dir, path)
 
 
 def test_service_report_job(spark, scratch):
@@ -188,7 +185,9 @@ def test_service_report_job(spark, scratch):
 def test_newsletter_kpi_job(spark, scratch):
     _land_member_pages(spark, SF_SMALL, f"{scratch}/members")
     posts = fx.newsletters(spark, SF_SMALL)
-    posts.select(F.array(F.struct(*posts.columns)).alias("posts")).write.json(f"{scratch}/posts")
+    posts.select(F.lit(1).alias("page"), F.array(F.struct(*posts.columns)).alias("posts")).groupBy("page").agg(
+        F.flatten(F.collect_list("posts")).alias("posts")).write.json(f"{scratch}/posts")
+    spark.sql("SELECT 2 AS page, array() AS posts").write.mode("append").json(f"{scratch}/posts")
     out = jobs.run_newsletter_kpis(spark, f"{scratch}/members", f"{scratch}/posts", f"{scratch}/kpi",
                                    f"{scratch}/raw", "2024-01-22")
     stats = spark.read.parquet(out["member_kpis"])
@@ -252,7 +251,7 @@ def test_no_python_udf_or_cartesian_anywhere(spark):
 def test_member_without_email_is_rejected_on_read(spark, scratch):
     """A NULL key would never match in the anti-joins; the read fails instead."""
     with open(f"{scratch}/page.json", "w") as f:
-        f.write(json.dumps({"members": [{"id": "m1", "email": None}]}) + "\n")
+        f.write(json.dumps({"page": 1, "members": [{"id": "m1", "email": None}]}) + '\n{"page": 2, "members": []}\n')
     with pytest.raises(Exception, match="member record without email"):
         rd.read_member_pages(spark, scratch).collect()
 
