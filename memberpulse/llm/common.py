@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +36,15 @@ class Workspace:
         for name in names:
             remove(self.spark, self.path(name))
 
+    def release(self) -> None:
+        """Let Spark's cleaner remove the shuffle files of finished stages now.
+
+        It removes those that the driver no longer refers to, but only learns of them when
+        the driver's JVM collects garbage, which a mostly idle driver rarely does.
+        """
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
 
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a path in whatever store Spark reaches it."""
