@@ -31,16 +31,21 @@ PLAIN = re.compile("[^\x00-\x1b\x20-\x7e\xa1-ɏ‐-‧‰-⁞€]")
 # --- tokens ---------------------------------------------------------------------------------
 
 class Encoder:
-    """Byte-level BPE ids of a text, without special tokens.
+    """The ids that ``tokenizers`` gives a text with its settings of the file and ``add_special_tokens=False``.
 
     ``ranks_path`` names the same vocabulary as merge ranks; that library gives equal ids
     several times faster and serves texts of Latin letters and common punctuation, where
     both libraries' character classes are the same.  All other texts go through
-    ``tokenizers`` itself, as do all texts when ``ranks_path`` is None.
+    ``tokenizers`` itself, as do texts that hold the string of one of its added tokens (one
+    id there, which the ranks don't have), and all texts when ``ranks_path`` is None.
     """
 
     def __init__(self, json_path: str, ranks_path: str | None, pattern: str):
-        self.json_path, self._slow, self._fast = json_path, None, None
+        from tokenizers import Tokenizer
+
+        self._slow, self._fast = Tokenizer.from_file(json_path), None
+        added = [re.escape(t.content) for t in self._slow.get_added_tokens_decoder().values()]
+        self._added = re.compile("|".join(added), re.IGNORECASE) if added else None
         if ranks_path:
             import tiktoken
 
@@ -49,13 +54,8 @@ class Encoder:
             self._fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, text: str) -> np.ndarray:
-        if self._fast is not None and not PLAIN.search(text):
+        if self._fast is not None and not PLAIN.search(text) and not (self._added and self._added.search(text)):
             return self._fast.encode_to_numpy(text, disallowed_special=())
-        if self._slow is None:
-            from tokenizers import Tokenizer
-
-            self._slow = Tokenizer.from_file(self.json_path)
-            self._slow.encode_special_tokens = True       # their strings in a text are ordinary text
         return np.array(self._slow.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
