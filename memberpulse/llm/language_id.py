@@ -1,7 +1,7 @@
 """Language identification by a bidirectional GRU over bytes, trained in numpy by backpropagation through time.
 
-The network reads segments: words with the space before and after them (cut at
-``SEGMENT`` bytes).  It labels every byte position with a distribution over languages;
+The network reads segments: words with the space before and after them (cut at about
+``SEGMENT`` bytes, between characters).  It labels every byte position with a distribution over languages;
 a document's probabilities are the mean over all positions of its whole text.  Since a
 segment's labels depend on its bytes alone, equal segments of a task are read once.
 """
@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from memberpulse.llm.common import slices, split_words, utf8, word_hashes
+from memberpulse.llm.common import Workspace, bounded_sample, slices, split_words, utf8, word_hashes
 
 SEGMENT = 32
 SPACE = 32
@@ -127,8 +127,12 @@ def segments(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndar
     pieces = -(-(ends - starts) // SEGMENT)
     nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
     start = np.repeat(starts, pieces) + nth * SEGMENT
-    end = np.minimum(start + SEGMENT, np.repeat(ends, pieces))
-    return data, start - 1, end + 1, np.repeat(doc, pieces)
+    for _ in range(3):                                               # cut between characters: at most three bytes on
+        start += (nth > 0) & (data[np.minimum(start, len(data) - 1)] & 0xC0 == 0x80)
+    last = np.append(nth[1:] == 0, True)[: len(nth)]
+    end = np.where(last, np.repeat(ends, pieces), np.append(start[1:], 0)[: len(start)])
+    full = end > start                                               # a last piece of continuation bytes alone is none
+    return data, start[full] - 1, end[full] + 1, np.repeat(doc, pieces)[full]
 
 
 def _matrix(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -211,24 +215,33 @@ class Pool:
 LETTER = r"\p{L}"
 
 
-def train(docs: DataFrame, fold: Column, sample_docs: int = 1600, id_col: str = "doc_id", text_col: str = "text",
-          lang_col: str = "lang", **options) -> Network | None:
-    """Fit on about ``sample_docs`` labelled rows (the documented bound), equally many of each language.
+def train(docs: DataFrame, fold: Column, sample_docs: int = 1600, sample_bytes: int = 32 << 20, id_col: str = "doc_id",
+          text_col: str = "text", lang_col: str = "lang", **options) -> Network | None:
+    """Fit on about ``sample_docs`` labelled texts of ``sample_bytes`` at most, equally many of each language.
 
-    ``fold``: condition over ``id`` of the rows that may be learned from.  Rows are chosen
-    by id hash.  None: no row of the fold has a language and a word.
+    These are the documented bounds of what the driver holds: one text (the first in order)
+    per id and language, however many rows have them, by the smallest hashes of their ids as
+    long as their bytes fit; a longer single text is taken whole.  ``fold``: condition over
+    ``id`` of the rows that may be learned from.  None: no row of the fold has a language
+    and a word.
     """
     known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(
         fold & F.col("lang").isNotNull() & F.col("text").rlike(LETTER))
-    counts = known.groupBy("lang").count()
+    ids = known.select("id", "lang").distinct()
+    counts = ids.groupBy("lang").count()
     each = F.lit(float(sample_docs)) / F.count("*").over(_all())
     shares = counts.select("lang", (each / F.col("count")).alias("share"))   # one row per language
-    chosen = known.join(F.broadcast(shares), "lang").where(
-        F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) < F.col("share") * (1 << 30)).select("id", "text", "lang")
-    rows = sorted(chosen.collect(), key=lambda r: (str(r["id"]), r["text"]))
+    ws = Workspace(docs.sparkSession)
+    chosen = ws.stage("sample", ids.join(F.broadcast(shares), "lang").where(
+        F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) < F.col("share") * (1 << 30)).select("id", "lang"))
+    # bounded by ``sample_docs``: safe to broadcast
+    texts = ws.stage("texts", known.join(F.broadcast(chosen), ["id", "lang"]).groupBy("id", "lang").agg(F.min("text").alias("text")))
+    table = bounded_sample(texts, F.octet_length("text"), sample_bytes)
+    ws.drop("sample", "texts")
+    rows = sorted(zip(*(table.column(c).to_pylist() for c in ("id", "text", "lang"))), key=lambda r: (str(r[0]), r[1], r[2]))
     if not rows:
         return None
-    return fit([r["text"].encode() for r in rows], [r["lang"] for r in rows], **options)
+    return fit([text.encode() for _, text, _ in rows], [lang for _, _, lang in rows], **options)
 
 
 def _all():

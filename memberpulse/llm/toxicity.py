@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from memberpulse.llm.common import slices, utf8, word_hashes
+from memberpulse.llm.common import Workspace, bounded_sample, id_share, slices, utf8, word_hashes
 
 #: Feature space: 2 ** FEATURE_BITS hash buckets.
 FEATURE_BITS = 20
@@ -105,37 +105,40 @@ def fit_nnpu(doc: np.ndarray, bucket: np.ndarray, n: int, positive: np.ndarray,
     return Model(chosen, w[:-1], float(w[-1]))
 
 
-def _about(ids: DataFrame, bound: int) -> DataFrame:
-    """The rows with the smallest id hashes, ``bound`` of them on average; all if there are fewer."""
-    share = min(1.0, bound / max(1, ids.count()))
-    return ids.where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) < int(share * (1 << 30)))
-
-
 def train(docs: DataFrame, labels: DataFrame, fold: Column, positives: int = 2000, unlabelled: int = 5000,
-          id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **fit) -> Model | None:
-    """Fit on about ``positives`` confirmed toxic and ``unlabelled`` other documents (the documented bounds).
-
-    ``fold``: a condition over ``id``; labels outside it are never read.  An id with
-    several labels is toxic if one says so; NULL labels and ids are ignored.  ``prior`` is
-    the toxic share of the labelled ids.  None: no confirmed toxic or no unlabelled document.
+          sample_features: int = 6_000_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+          least_prior: float = 1e-6, most_prior: float = 0.5, **fit) -> Model | None:
+    """Fit on about ``positives`` confirmed toxic and ``unlabelled`` other documents, ``sample_features`` (text, bucket) pairs at most.
+
+    These are the documented bounds of what the driver holds: a row per id (its first text
+    in order, however many rows it has), and rows by the smallest hashes of their ids as
+    long as their features fit.  ``fold``: a condition over ``id``; labels outside it are
+    never read.  An id with several labels is toxic if one says so; NULL labels and ids are
+    ignored.  ``prior`` is the toxic share of the labelled ids, held between ``least_prior``
+    and ``most_prior`` (the risk needs a share in between; beyond a half, unlabelled text is
+    no sample of clean text).  None: no confirmed toxic or no unlabelled document.
     """
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("toxic")).where("id IS NOT NULL AND toxic IS NOT NULL")
              .where(fold).groupBy("id").agg(F.max("toxic").alias("toxic")))
     n, toxic = known.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not toxic:
         return None
-    prior = min(max(toxic / n, 1e-3), 0.5)
+    prior = min(max(toxic / n, least_prior), most_prior)
     ids = docs.select(F.col(id_col).alias("id")).where("id IS NOT NULL").distinct()
-    pos = _about(ids.join(known.where("toxic = 1"), "id", "left_semi"), positives).select("id", F.lit(True).alias("pos"))
-    sample = _about(ids, unlabelled).select("id", F.lit(True).alias("un")).join(pos, "id", "full").select(
+    pos = id_share(ids.join(known.where("toxic = 1"), "id", "left_semi"), positives).select("id", F.lit(True).alias("pos"))
+    sample = id_share(ids, unlabelled).select("id", F.lit(True).alias("un")).join(pos, "id", "full").select(
         "id", F.coalesce("pos", F.lit(False)).alias("pos"), F.coalesce("un", F.lit(False)).alias("un"))
-    # bounded by the two parameters: safe to broadcast, and to bring its hashed features to the driver
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
-    table = rows.select("pos", "un", "text", "id").mapInArrow(_feature_rows, "pos boolean, un boolean, id string, buckets array<int>").toArrow()
-    order = np.argsort(np.asarray(table.column("id").to_pylist(), dtype=object).astype(str), kind="stable")
-    table = table.combine_chunks().take(pa.array(order))
+    ws = Workspace(docs.sparkSession)
+    # bounded by the two parameters: safe to broadcast
+    chosen = F.broadcast(ws.stage("sample", sample))
+    texts = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(chosen, "id")
+             .groupBy("id", "pos", "un").agg(F.min("text").alias("text")))
+    rows = ws.stage("features", texts.select("pos", "un", "text", "id").mapInArrow(
+        _feature_rows, "pos boolean, un boolean, id string, buckets array<int>"))
+    table = bounded_sample(rows, F.size("buckets"), sample_features)
+    ws.drop("sample", "features")
     lists = table.column("buckets").combine_chunks()
-    counts = np.asarray(pc.list_value_length(lists))
+    counts = np.asarray(pc.list_value_length(lists)).astype(np.int64)
     pos, un = (np.asarray(table.column(c)).astype(bool) for c in ("pos", "un"))
     if not pos.any() or not un.any():
         return None
