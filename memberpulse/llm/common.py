@@ -40,8 +40,10 @@ class Workspace:
         """Let Spark's cleaner remove the shuffle files of finished stages now.
 
         It removes those that the driver no longer refers to, but only learns of them when
-        the driver's JVM collects garbage, which a mostly idle driver rarely does.
+        the driver's JVM collects garbage, which a mostly idle driver rarely does.  The last
+        query is still referred to until another one takes its place.
         """
+        self.spark.range(1).count()
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()
 

@@ -1,0 +1,297 @@
+"""Learned operators, tokens, fingerprints and alignments held to plain versions; bounds of training samples."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+from test_operators import LABELS, SF, edge_rows, sentence
+
+from memberpulse.llm import language_id, packing, simhash, substring_dedup, toxicity
+
+# --- tokens ---------------------------------------------------------------------------------
+
+TOKEN_TEXTS = ["<|endoftext|> x", "a<|endoftext|>", "<|endoftext|><|endoftext|>", "<|ENDOFTEXT|> y", "<|endoftext", "it's  a\t\n\n b   ",
+               "日本語 <|endoftext|> ½", "", "plain words"]
+
+
+def test_ids_are_those_of_a_plainly_loaded_tokenizer(spark):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = [plain.encode(t, add_special_tokens=False).ids for t in TOKEN_TEXTS]
+    for path in (packing.public_bpe()["ranks_path"], None):
+        encode = packing.Encoder(**{**packing.public_bpe(), "ranks_path": path})
+        assert [encode(t).tolist() for t in TOKEN_TEXTS] == want
+    assert want[0] == [50256, 2124]
+    texts = [r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()] + [r[1] or "" for r in edge_rows()]
+    encode = packing.Encoder(**packing.public_bpe())
+    assert all(encode(t).tolist() == plain.encode(t, add_special_tokens=False).ids for t in texts)
+
+
+# --- fingerprints ---------------------------------------------------------------------------
+
+def plain_fingerprint(text: str | None, k: int) -> int:
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words, word = [], ""
+    for c in low + " ":
+        if c in " \t\n\x0b\x0c\r":
+            words, word = words + [word] * bool(word), ""
+        else:
+            word += c
+    if not words:
+        return 0
+    shingles = [" ".join(words[i: i + k]) for i in range(len(words) - k + 1)] or [" ".join(words)]
+    hashes = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_fingerprints_equal_a_plain_version(spark):
+    texts = [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").limit(60).collect()]
+    texts += [None, "", " \x0b\n", "One", "a b c", "a b c d", "É é\xa0x \x1cy z w", "A b C d A b C d"]
+    for t in texts:
+        assert simhash.fingerprint(None if t is None else t.encode(), 4) == plain_fingerprint(t, 4)
+
+
+# --- language id ----------------------------------------------------------------------------
+
+def plain_positions(net: language_id.Network, segment: bytes) -> np.ndarray:
+    """Probabilities of each position of one segment, a step at a time."""
+    size = net.u.shape[1]
+
+    def states(seq: bytes, d: int) -> list[np.ndarray]:
+        h, out = np.zeros(size), []
+        for byte in seq:
+            x, r = net.x[d][byte].astype(float), h @ net.u[d].astype(float)
+            z, g = (1 / (1 + np.exp(-(x[i * size:(i + 1) * size] + r[i * size:(i + 1) * size]))) for i in (0, 1))
+            new = np.tanh(x[2 * size:] + g * (r[2 * size:] + net.c[d]))
+            h = (1 - z) * new + z * h
+            out.append(h)
+        return out
+
+    ahead, behind = states(segment, 0), states(segment[::-1], 1)[::-1]
+    rows = []
+    for a, b in zip(ahead, behind):
+        e = np.exp(np.concatenate([a, b]) @ net.o + net.b)
+        rows.append(e / e.sum())
+    return np.array(rows)
+
+
+def random_net(seed: int, hidden: int = 3) -> language_id.Network:
+    rng = np.random.default_rng(seed)
+    shapes = ((2, 256, 3 * hidden), (2, hidden, 3 * hidden), (2, hidden), (2 * hidden, 3), (3,))
+    return language_id.Network(*[rng.normal(0, 0.5, s).astype(np.float32) for s in shapes], ("a", "b", "c"))
+
+
+def plain_segments(text: str) -> list[bytes]:
+    """Words with a space before and after, cut at 32 bytes or up to three more, between characters."""
+    out, space = [], b" \t\n\x0b\x0c\r"
+    joined, at = b" " + text.encode() + b" ", 0
+    while at < len(joined):
+        if joined[at] in space:
+            at += 1
+            continue
+        end = next(i for i in range(at, len(joined)) if joined[i] in space)
+        cuts = [at]
+        for n in range(1, -(-(end - at) // language_id.SEGMENT)):
+            cut = at + n * language_id.SEGMENT
+            while cut < end and joined[cut] & 0xC0 == 0x80:
+                cut += 1
+            cuts.append(cut)
+        cuts.append(end)
+        out += [joined[a - 1: b + 1] for a, b in zip(cuts, cuts[1:]) if b > a]
+        at = end
+    return out
+
+
+def test_pooled_labels_equal_a_loop_over_positions(spark):
+    net = random_net(5)
+    texts = ["one two", "漢字" * 40 + " x", "é" * 31 + "漢" * 9, "a" * 32, "b" * 33, "Ünï çôdé\nnew line", "z", "1 2"]
+    rows = list(enumerate(texts)) + [(100, None), (101, ""), (102, " \n")]
+    got = {r["doc_id"]: r for r in language_id.identify(spark.createDataFrame(rows, "doc_id bigint, text string"), net).collect()}
+    for i, text in rows:
+        p = [plain_positions(net, s) for s in plain_segments(text or "")]
+        if not any(c.isalpha() for c in text or ""):
+            assert (got[i]["lang_pred"], got[i]["score"]) == ("und", 0.0)
+            continue
+        pooled = np.concatenate(p).mean(0)
+        assert got[i]["lang_pred"] == net.langs[int(pooled.argmax())] and got[i]["score"] == pytest.approx(pooled.max(), abs=1e-5)
+
+
+def test_all_gradients_of_the_network():
+    """Every parameter array, several entries each, with segments of different lengths."""
+    rng = np.random.default_rng(1)
+    shapes = ((2, 256, 9), (2, 3, 9), (2, 3), (6, 3), (3,))
+    net = language_id.Network(*[rng.normal(0, 0.5, s) for s in shapes], ("a", "b", "c"))
+    data, lengths, target = rng.integers(0, 20, (6, 7)), np.array([7, 3, 5, 1, 6, 2]), np.array([0, 1, 2, 0, 1, 2])
+    _, grads = language_id._gradients(net, data, lengths, target)
+    for p, g in zip((net.x, net.u, net.c, net.o, net.b), grads):
+        entries = [tuple(e) for e in np.argwhere(np.abs(g) > np.quantile(np.abs(g), 0.5))]
+        for at in [entries[i] for i in rng.choice(len(entries), min(6, len(entries)), replace=False)]:
+            before, losses = p[at], []
+            for step in (1e-2, -1e-2):
+                p[at] = before + step
+                losses.append(language_id._gradients(net, data, lengths, target)[0])
+            p[at] = before
+            assert abs((losses[0] - losses[1]) / 2e-2 - g[at]) < 1e-3
+
+
+def hot_rows(n: int) -> list[tuple]:
+    """An id with most of all rows, texts of its own each, and ids with one."""
+    rng = random.Random(6)
+    return [(1, f"{sentence(rng, 20)} {i}", "aa") for i in range(n)] + [(i, sentence(rng, 30), ["aa", "bb"][i % 2]) for i in range(2, 150)]
+
+
+def test_language_sample_is_bounded_by_id_and_bytes(spark, monkeypatch):
+    docs, seen = spark.createDataFrame(hot_rows(3000), "doc_id bigint, text string, lang string"), []
+    monkeypatch.setattr(language_id, "fit", lambda texts, langs, **_: seen.append((len(texts), sum(map(len, texts)), set(langs))))
+    language_id.train(docs, F.lit(True))
+    language_id.train(docs, F.lit(True), sample_bytes=4000)
+    language_id.train(docs, F.lit(True), sample_docs=30)
+    assert seen[0][0] == 149 and seen[0][2] == {"aa", "bb"}
+    assert seen[1][1] <= 4000 and seen[2][0] <= 60
+
+
+# --- toxicity -------------------------------------------------------------------------------
+
+def test_toxicity_sample_is_bounded_by_id_and_features(spark, monkeypatch):
+    docs = spark.createDataFrame([r[:2] for r in hot_rows(3000)], "doc_id bigint, text string")
+    labels, seen = spark.createDataFrame([(i, 0, int(i == 1 or i % 5 == 0)) for i in range(1, 150)], LABELS), []
+    monkeypatch.setattr(toxicity, "fit_nnpu", lambda doc, bucket, n, pos, un, prior, **_: seen.append((n, len(bucket), int(pos.sum()), prior)))
+    toxicity.train(docs, labels, F.lit(True))
+    toxicity.train(docs, labels, F.lit(True), sample_features=1000)
+    toxicity.train(docs, labels, F.lit(True), positives=5, unlabelled=20)
+    assert seen[0][0] == 149 and seen[0][2] == 30 and seen[0][3] == pytest.approx(30 / 149)
+    assert seen[1][1] <= 1000 and seen[2][0] <= 60
+
+
+def plain_nnpu(texts: list[set], pos: list[int], un: list[int], prior: float, buckets: list[int], steps: int, rate: float, decay: float):
+    """The same descent with the risks written out and gradients by differences."""
+    w = np.zeros(len(buckets) + 1)
+    w[-1] = np.log(prior / (1 - prior))
+    x = np.array([[float(b in t) for b in buckets] + [1.0] for t in texts])
+
+    def risks(v: np.ndarray) -> tuple[float, float]:
+        z = x @ v
+        toxic = prior * np.mean(np.log1p(np.exp(-z[pos])))
+        clean = np.mean(np.log1p(np.exp(z[un]))) - prior * np.mean(np.log1p(np.exp(z[pos])))
+        return toxic, clean
+
+    m, v2 = np.zeros_like(w), np.zeros_like(w)
+    for t in range(1, steps + 1):
+        reversed_ = risks(w)[1] < 0
+
+        def objective(v: np.ndarray) -> float:
+            toxic, clean = risks(v)
+            return (-clean if reversed_ else toxic + clean) + decay / 2 * float(v[:-1] @ v[:-1])  # noqa: B023
+
+        g = np.array([(objective(w + e) - objective(w - e)) / 2e-5 for e in np.eye(len(w)) * 1e-5])
+        m, v2 = 0.9 * m + 0.1 * g, 0.999 * v2 + 0.001 * g * g
+        w = w - rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v2 / (1 - 0.999 ** t)) + 1e-8)
+    return w
+
+
+@pytest.mark.parametrize("prior", [0.05, 0.3, 0.5])
+def test_nnpu_descends_the_corrected_risk(prior):
+    """Weights after some steps equal a plain descent, through steps that the non-negative rule reverses too."""
+    rng = random.Random(3)
+    toxic_words, words = [10, 11, 12], list(range(20, 30))
+    texts = [set(rng.sample(toxic_words, 2) + rng.sample(words, 3)) for _ in range(12)] + [set(rng.sample(words, 4)) for _ in range(30)]
+    pos, un = np.arange(42) < 8, np.arange(42) >= 4
+    doc = np.repeat(np.arange(42), [len(t) for t in texts])
+    bucket = np.concatenate([sorted(t) for t in texts])
+    model = toxicity.fit_nnpu(doc, bucket, 42, pos, un, prior, min_z=-1e9, min_docs=1, steps=60, rate=0.1, decay=1e-3)
+    held = sorted(set(bucket[pos[doc]].tolist()))
+    assert model.buckets.tolist() == held
+    want = plain_nnpu(texts, np.flatnonzero(pos).tolist(), np.flatnonzero(un).tolist(), prior, held, 60, 0.1, 1e-3)
+    assert np.append(model.weights, model.bias) == pytest.approx(want, abs=2e-3)
+
+
+def test_toxicity_scores_equal_a_plain_sum(spark):
+    rng = np.random.default_rng(4)
+    texts = [t for _, t in [(r[0], r[1]) for r in edge_rows()]][:12]
+    made = [toxicity.features([None if t is None else t.encode()])[1] for t in texts]
+    buckets = np.unique(np.concatenate(made))[::3]
+    model = toxicity.Model(buckets, rng.normal(size=len(buckets)), -0.4)
+    got = toxicity.score(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), model).collect()
+    weight = dict(zip(buckets.tolist(), model.weights.tolist()))
+    for r in got:
+        z = model.bias + sum(weight.get(b, 0.0) for b in made[r["doc_id"]].tolist())
+        assert r["score"] == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-9)
+
+
+# --- passages -------------------------------------------------------------------------------
+
+def test_gap_alignment_has_a_longest_common_subsequence():
+    rng = random.Random(3)
+    for _ in range(1500):
+        a, b = (np.array([rng.randrange(5) for _ in range(rng.randrange(0, 9))], np.int64) for _ in range(2))
+        table = np.zeros((len(a) + 1, len(b) + 1), int)
+        for i in range(len(a)):
+            for j in range(len(b)):
+                table[i + 1, j + 1] = max(table[i, j + 1], table[i + 1, j], table[i, j] + (a[i] == b[j]))
+        columns, matched = substring_dedup.gap_alignment(a, b)
+        assert matched == table[-1, -1] and max(len(a), len(b)) <= columns <= len(a) + len(b) - matched
+
+
+def test_gapped_extension_takes_the_best_prefixes():
+    rng = random.Random(7)
+    for _ in range(300):
+        a = [rng.randrange(4) for _ in range(rng.randrange(0, 10))]
+        b = [w for w in a if rng.random() < 0.8] + [rng.randrange(4) for _ in range(rng.randrange(0, 4))]
+        x, y, matched, columns = substring_dedup.extend_gapped(np.array(a, np.int64), np.array(b, np.int64), -2)
+        best, table = 0, {}
+        for i in range(len(a) + 1):
+            for j in range(len(b) + 1):
+                ways = [table[i - 1, j - 1] + (1 if a[i - 1] == b[j - 1] else -2)] if i and j else []
+                ways += [table[i - 1, j] - 2] if i else []
+                ways += [table[i, j - 1] - 2] if j else []
+                table[i, j] = max(ways) if ways else 0
+                best = max(best, table[i, j])
+        assert matched - 2 * (columns - matched) == best == table[x, y]
+        assert max(x, y) <= columns <= x + y
+
+
+def edited(rng: random.Random, passage: list[str], rate: float, kinds: str) -> list[str]:
+    out = []
+    for w in passage:
+        kind = rng.choice(kinds) if rng.random() < rate else ""
+        out += {"": [w], "s": [sentence(rng, 1)], "i": [sentence(rng, 1), w], "d": []}[kind]
+    return out
+
+
+def distance(a: list[str], b: list[str]) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j - 1] + (x != y), last[j] + 1, row[-1] + 1))
+    return row[-1]
+
+
+def test_fuzzy_recall(spark):
+    """Passages of 100 words down to identity 0.8, edited by substitutions or by insertions and deletions too: 0.9 of their words."""
+    rng, docs, truth = random.Random(1), [], {}
+    for rate in (0.1, 0.15, 0.18, 0.2):
+        for kinds in ("s", "sid"):
+            for _ in range(30):
+                passage, n = sentence(rng, 100).split(), len(docs)
+                copy, head = edited(rng, passage, rate, kinds), sentence(rng, rng.randrange(30, 90))
+                docs.append((n, f"{sentence(rng, 50)} {' '.join(passage)} {sentence(rng, 40)}"))
+                docs.append((n + 1, f"{head} {' '.join(copy)} {sentence(rng, 60)}"))
+                if 1 - distance(passage, copy) / max(len(passage), len(copy)) >= 0.8:
+                    truth[n + 1] = (kinds, len(head.split()), len(head.split()) + len(copy))
+    spans: dict = {}
+    for r in substring_dedup.shared_passages(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)).collect():
+        if r["other_doc_id"] == r["doc_id"] - 1:
+            spans.setdefault(r["doc_id"], []).append((r["start"], r["stop"]))
+    covered: dict = {"s": [0, 0], "sid": [0, 0]}
+    for d, (kinds, start, stop) in truth.items():
+        covered[kinds][0] += sum(any(a <= w < b for a, b in spans.get(d, ())) for w in range(start, stop))
+        covered[kinds][1] += stop - start
+    for kinds, (found, words) in covered.items():
+        assert found >= 0.9 * words, (kinds, found / words)
