@@ -1,0 +1,158 @@
+"""WARC headers, record ids, long payloads, clashing columns; the pipeline's stages on edge cases and against plain versions."""
+
+from __future__ import annotations
+
+import glob
+import hashlib
+import random
+import re
+from collections import Counter
+
+import corpus_pipeline
+import numpy as np
+import pytest
+from test_operators import DOCS, LABELS, SF, clashing, edge_rows, sentence
+
+from memberpulse.llm import warc
+from memberpulse.llm.common import Workspace
+
+PAGES = "page_id bigint, url string, html string"
+
+
+def records(root: str) -> list[tuple[dict, bytes]]:
+    out = []
+    for path in sorted(glob.glob(f"{root}/*.warc.gz")):
+        with open(path, "rb") as f:
+            out += [(h, b) for h, b in warc.parse_records(f.read) if h["WARC-Type"] != "warcinfo"]
+    return out
+
+
+def test_revisits_name_the_record_they_refer_to(spark, scratch):
+    big = "é" * 700
+    rows = [(i, f"http://h/{i}", big) for i in range(5)] + [(9, None, big), (5, "http://h/5", "small"), (6, None, None)]
+    warc.write_warc(spark.createDataFrame(rows, PAGES).repartition(3), f"file://{scratch}/a", date="2024-05-06T07:08:09Z").count()
+    found = {h.get("WARC-Page-ID"): h for h, _ in records(f"{scratch}/a")}
+    kept = found["9"]
+    assert kept["WARC-Type"] == "response" and kept["WARC-Target-URI"] == warc.NO_URL
+    for i in range(5):
+        h = found[str(i)]
+        assert (h["WARC-Type"], h["WARC-Profile"]) == ("revisit", warc.PROFILE)
+        assert (h["WARC-Refers-To"], h["WARC-Refers-To-Target-URI"], h["WARC-Refers-To-Date"], h["WARC-Payload-Digest"]) == (
+            kept["WARC-Record-ID"], kept["WARC-Target-URI"], kept["WARC-Date"], kept["WARC-Payload-Digest"])
+    read = {r["page_id"]: (r["url"], r["record_type"], r["refers_to"]) for r in warc.read_warc(spark, f"file://{scratch}/a").collect()}
+    assert read[9] == (None, "response", None) and read[6] == (None, "response", None) and read[0] == ("http://h/0", "revisit", 9)
+
+
+def test_every_record_has_an_id_of_its_own(spark, scratch):
+    big = "x" * 1500
+    rows = [(1, "u", "a")] * 3 + [(1, "u", "b"), (1, None, "a"), (2, "u", big), (2, "u", big), (3, "v", big), (3, "v", big), (3, "w", big),
+                                  (None, None, None), (None, None, None), (None, "n", big)]
+    files = []
+    for name, parts in (("a", 1), ("b", 4)):
+        warc.write_warc(spark.createDataFrame(rows, PAGES).repartition(parts), f"file://{scratch}/{name}").count()
+        ids = [h["WARC-Record-ID"] for h, _ in records(f"{scratch}/{name}")]
+        assert len(set(ids)) == len(ids) == len(rows)
+        for h, _ in records(f"{scratch}/{name}"):
+            if h["WARC-Type"] == "revisit":
+                assert h["WARC-Refers-To"] in ids and h["WARC-Refers-To-Page-ID"] == "3"
+        files.append([hashlib.sha256(open(p, "rb").read()).hexdigest() for p in sorted(glob.glob(f"{scratch}/{name}/*.warc.gz"))])
+    assert files[0] == files[1]
+
+
+def test_hot_payloads_by_broadcast_equal_the_rest(spark, scratch, monkeypatch):
+    rows = [(i, f"u{i}", f"{i % 3} " + "y" * 1200) for i in range(60)] + [(100 + i, "u", f"{i} " + "z" * 1200) for i in range(10)]
+    out = []
+    for most in (1_000_000, 5):
+        monkeypatch.setattr(warc, "HOT_COPIES", most)
+        warc.write_warc(spark.createDataFrame(rows, PAGES), f"file://{scratch}/{most}").count()
+        out.append(sorted((r["page_id"], r["record_type"], r["refers_to"]) for r in warc.read_warc(spark, f"file://{scratch}/{most}").collect()))
+    assert out[0] == out[1] and sum(t == "revisit" for _, t, _ in out[0]) == 57
+
+
+def test_long_payloads_and_clashing_columns(spark, scratch):
+    long = sentence(random.Random(1), 400_000)
+    pages = spark.createDataFrame([(1, "u", long), (2, "v", long), (3, "w", "")], PAGES)
+    for c in ("id", "same", "size", "payload", "shard", "refers_to", "salt", "kept", "n"):
+        pages = pages.selectExpr("*", f"'x' AS {c}")
+    warc.write_warc(pages, f"file://{scratch}/a", roll_bytes=1000).count()
+    got = {r["page_id"]: r for r in warc.read_warc(spark, f"file://{scratch}/a").collect()}
+    assert bytes(got[2]["payload"]).decode() == long and got[1]["refers_to"] == 2 and got[3]["payload_bytes"] == 0
+    assert got[1]["payload_digest"] == hashlib.sha1(long.encode()).hexdigest()
+
+
+# --- the pipeline ---------------------------------------------------------------------------
+
+@pytest.fixture()
+def small_sf(spark, scratch):
+    """The tables that the stages read, small."""
+    items = [(1, edge_rows()[6][1]), (2, None), (3, ""), (4, sentence(random.Random(3), 6))]
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{scratch}/benchmark.parquet")
+    spark.createDataFrame([(4, 1, 0), (8, 1, 0), (None, 1, 1), (20, None, None), (21, 0, 0)], LABELS).write.parquet(f"{scratch}/labels.parquet")
+    return scratch
+
+
+def test_stages_on_edge_cases(spark, small_sf):
+    """NULLs, empty and long texts, repeated rows, an empty table and columns named like the operators' own."""
+    docs = spark.createDataFrame(edge_rows(), DOCS)
+    named = clashing(docs).selectExpr("*", "'mine' AS predicted", "'mine' AS held_out", "'mine' AS n_removed")
+    ws = Workspace(spark)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain, more = (ws.stage(f"{name}_{i}", stage(spark, d, small_sf)) for i, d in enumerate((docs, named)))
+        assert plain.columns == docs.columns and more.columns == named.columns
+        as_text = lambda df: sorted(map(str, df.select(*docs.columns).collect()))
+        assert as_text(plain) == as_text(more), name
+        assert {tuple(r) for r in more.select("score", "n_lines", "key", "row", "predicted", "held_out", "n_removed").distinct().collect()} == {
+            ("x",) * 4 + ("mine",) * 3}, name
+        assert stage(spark, docs.limit(0), small_sf).count() == 0
+        docs, named = plain, more
+    name, pack = corpus_pipeline.STAGES[-1]
+    assert sorted(map(str, pack(spark, docs, small_sf).select("doc_id", "piece", "length", "ids_crc32").collect())) == sorted(
+        map(str, pack(spark, named, small_sf).select("doc_id", "piece", "length", "ids_crc32").collect()))
+    assert pack(spark, docs.limit(0), small_sf).count() == 0
+
+
+def plain_contaminated(text: str | None, items: list[str | None]) -> bool:
+    low = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate({i: i + 32 for i in range(65, 91)}))
+    words, hit = low(text), set()
+    for item in items:
+        held = low(item)
+        size = min(13, len(held))
+        windows = {tuple(held[i: i + size]) for i in range(len(held) - size + 1)} if size else set()
+        for i in range(len(words) - size + 1 if size else 0):
+            if tuple(words[i: i + size]) in windows:
+                hit |= set(range(i, i + size))
+    return bool(hit) and 20 * len(hit) >= len(words)
+
+
+def test_decontamination_and_toxicity_stages_equal_plain_versions(spark):
+    from memberpulse.llm import toxicity
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    items = [r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    kept = {r["doc_id"] for r in stages["benchmark_decontamination"](spark, docs, SF).collect()}
+    assert kept == {r["doc_id"] for r in docs.collect() if not plain_contaminated(r["text"], items)}
+    model = toxicity.train(docs, spark.read.parquet(f"{SF}/labels.parquet"), F.crc32(F.col("id").cast("string")) % 5 != 0)
+    weight = dict(zip(model.buckets.tolist(), model.weights.tolist()))
+    clean = {r["doc_id"] for r in docs.collect() if model.bias + sum(
+        weight.get(b, 0.0) for b in toxicity.features([(r["text"] or "").encode()])[1].tolist()) < 0}
+    assert {r["doc_id"] for r in stages["toxicity"](spark, docs, SF).collect()} == clean
+
+
+def test_packed_pieces_hold_every_kept_document(spark):
+    """The last stage: every id sequence of every kept document, once and without gaps."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    out = dict(corpus_pipeline.STAGES)["best_fit_packing"](spark, docs, SF).collect()
+    held = Counter()
+    for r in out:
+        held[r["doc_id"]] += r["length"]
+    from memberpulse.llm import packing
+    slow = packing.Encoder(**{**packing.public_bpe(), "ranks_path": None})
+    assert dict(held) == {r["doc_id"]: len(slow(r["text"] or "")) + 1 for r in docs.collect()}
+    places: dict = {}
+    for r in out:
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for spots in places.values():
+        ends = np.cumsum([n for _, n in sorted(spots)])
+        assert [o for o, _ in sorted(spots)] == [0, *ends[:-1].tolist()] and ends[-1] <= 1024

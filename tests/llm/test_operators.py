@@ -265,12 +265,12 @@ def test_licence_lines_match_whatever_stands_around_them(spark):
     rng = random.Random(23)
     notices = [(name, text) for name, text in license_scan.TEMPLATES if len(text.split()) > 3]
     files = [(i, "r/x", "Copyright Acme. All of it by Foo Bar Baz 2019; code " + text + " see the file for more") for i, (_, text) in enumerate(notices)]
-    inserted = [(50, "r/x", "Licensed under the common Apache License, Version 2.0"), (51, "r/x", "Code Released under the MIT License.")]
-    plain = [(100 + i, "r/x", sentence(rng, 30) + " common code") for i in range(400)] + [(900, "r/x", "version 2.0 of the software")]
+    inserted = [(5000, "r/x", "Licensed under the common Apache License, Version 2.0"), (5001, "r/x", "Code Released under the MIT License.")]
+    plain = [(6000 + i, "r/x", sentence(rng, 30) + " common code") for i in range(400)] + [(9000, "r/x", "version 2.0 of the software")]
     got = {r["doc_id"]: r["own_license"] for r in license_scan.license_scan(
         spark.createDataFrame(files + inserted + plain, "doc_id bigint, path string, text string")).collect()}
     assert [got[i] for i, _ in enumerate(notices)] == [name for name, _ in notices]
-    assert got[50] == "Apache-2.0" and got[51] == "MIT" and all(got[r[0]] is None for r in plain)
+    assert got[5000] == "Apache-2.0" and got[5001] == "MIT" and all(got[r[0]] is None for r in plain)
 
 
 def test_fuzzy_passages_are_found_and_clean_texts_left(spark):
