@@ -12,6 +12,7 @@ import base64
 import hashlib
 import uuid
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from urllib.parse import quote
 
@@ -28,8 +29,10 @@ from memberpulse.llm.common import Workspace, remove, slices
 REVISIT_BYTES = 1000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST = "path string, shard int, file int, records bigint, bytes bigint, sha256 string"
-#: Parts of the salted join that tells copies which record they revisit.
-SALTS = 16
+#: Payloads with more copies than this are told by broadcast which record they revisit: one row per so many pages at most.
+HOT_COPIES = 1_000_000
+#: Stands for the target of a page without a URL, which the format requires.
+NO_URL = "urn:x-page:none"
 
 
 def _open(root: str):
@@ -41,8 +44,14 @@ def _open(root: str):
 
 # --- records --------------------------------------------------------------------------------
 
-def record_id(page_id: int | None, url: str, digest: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}|{url}|{digest}')}>"
+def record_id(page_id: int | None, url: str, digest: str, nth: int = 0) -> str:
+    """An id by content; the ``nth`` repetition of a page has one of its own."""
+    name = f"{page_id}|{url}|{digest}" + (f"|{nth}" if nth else "")
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>"
+
+
+def target_uri(url: str | None) -> str:
+    return NO_URL if url is None else quote(url, safe="!#$%&'()*+,/:;=?@[]~-._")
 
 
 def _digest(data: bytes) -> str:
@@ -58,10 +67,11 @@ def record(kind: str, headers: dict[str, str], block: bytes) -> bytes:
     return pack.compress(plain) + pack.flush()
 
 
-def page_record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, date: str) -> bytes:
-    """The response record of a page, or its revisit record (without payload) if it refers to another page."""
-    target, digest = quote(url or "", safe="!#$%&'()*+,/:;=?@[]~-._"), _digest(payload)
-    headers = {"WARC-Record-ID": record_id(page_id, target, digest), "WARC-Date": date, "WARC-Target-URI": target,
+def page_record(page_id: int | None, url: str | None, payload: bytes, refers_to: tuple[int, str | None] | None, date: str,
+                nth: int = 0) -> bytes:
+    """The response record of a page, or its revisit record (without payload) if it refers to another page ``(id, url)``."""
+    target, digest = target_uri(url), _digest(payload)
+    headers = {"WARC-Record-ID": record_id(page_id, target, digest, nth), "WARC-Date": date, "WARC-Target-URI": target,
                "WARC-Payload-Digest": digest,
                "Content-Type": "application/http; msgtype=response"}
     if page_id is not None:
@@ -69,7 +79,9 @@ def page_record(page_id: int | None, url: str | None, payload: bytes, refers_to:
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     if refers_to is None:
         return record("response", headers, http + payload)
-    headers |= {"WARC-Profile": PROFILE, "WARC-Refers-To-Page-ID": str(refers_to)}
+    other, there = refers_to[0], target_uri(refers_to[1])
+    headers |= {"WARC-Profile": PROFILE, "WARC-Refers-To": record_id(other, there, digest), "WARC-Refers-To-Target-URI": there,
+                "WARC-Refers-To-Date": date, "WARC-Refers-To-Page-ID": str(other)}
     return record("revisit", headers, http)
 
 
@@ -104,18 +116,23 @@ def page_rows(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> Dat
     return rows.select("*", size.alias("size"), F.when(size >= REVISIT_BYTES, F.sha2("payload", 256)).alias("same"))
 
 
-def revisits(rows: DataFrame) -> DataFrame:
-    """``(id, same, refers_to)`` of the pages whose payload another page with a larger id holds.
+def revisits(rows: DataFrame, ws: Workspace) -> DataFrame:
+    """``(id, same, refers_to, refers_url)`` of the pages whose payload another page with a larger id holds.
 
-    Works on ids and digests only.  The largest id of a group is combined map-side; the
-    join back is salted, so a payload that a third of all pages share is no hot key.
+    Works on ids, URLs and digests only, which are staged once.  The largest id of a group
+    (of its rows the one with the largest URL) is combined map-side.  Payloads with more
+    than ``HOT_COPIES`` copies, of which there are few however many pages there are, are
+    joined by broadcast; each copy stays in its task.
     """
-    light = rows.where("same IS NOT NULL").select("id", "same")
-    groups = light.groupBy("same").agg(F.max("id").alias("kept"), F.count("*").alias("n")).where("n > 1 AND kept IS NOT NULL")
-    groups = groups.select("same", "kept", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    light = light.select("*", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt"))
-    found = light.join(groups, ["same", "salt"]).where(~F.col("id").eqNullSafe(F.col("kept")))
-    return found.select("id", "same", F.col("kept").alias("refers_to")).distinct()
+    light = ws.stage("digests", rows.where("same IS NOT NULL").select("id", "url", "same"))
+    groups = light.groupBy("same").agg(F.max(F.struct("id", F.coalesce("url", F.lit("")).alias("text"), "url")).alias("kept"),
+                                       F.count("*").alias("n")).where("n > 1 AND kept.id IS NOT NULL")
+    groups = ws.stage("groups", groups.select("same", "n", F.col("kept.id").alias("refers_to"), F.col("kept.url").alias("refers_url")))
+    pages = light.select("id", "same").distinct()
+    hot, rest = groups.where(F.col("n") > HOT_COPIES).drop("n"), groups.where(F.col("n") <= HOT_COPIES).drop("n")
+    found = pages.join(F.broadcast(hot), "same").unionByName(
+        pages.join(F.broadcast(hot.select("same")), "same", "left_anti").join(rest, "same"))
+    return found.where(~F.col("id").eqNullSafe(F.col("refers_to"))).select("id", "same", "refers_to", "refers_url")
 
 
 def shard_bounds(rows: DataFrame, shard_bytes: int, ws: Workspace) -> list[int]:
@@ -139,7 +156,7 @@ def _writer(root: str, roll_bytes: int, date: str):
         store, base = _open(root)
         attempt = f"{TaskContext.get().taskAttemptId()}-{uuid.uuid4().hex[:8]}"
         store.create_dir(f"{base}/_temporary", recursive=True)
-        done, state, mark = [], None, None
+        done, state, mark, page, written = [], None, None, None, Counter()
 
         def close() -> None:
             state["out"].close()
@@ -155,7 +172,11 @@ def _writer(root: str, roll_bytes: int, date: str):
             if row["refers_to"] is not None:             # sorted before the page rows that it is about
                 mark = row
                 continue
-            other = mark["refers_to"] if mark and (mark["id"], mark["same"]) == (row["id"], row["same"]) else None
+            other = (mark["refers_to"], mark["refers_url"]) if mark and (mark["id"], mark["same"]) == (row["id"], row["same"]) else None
+            if page != row["id"]:
+                page, written = row["id"], Counter()         # what rows of one id have been written
+            name = hashlib.sha256(repr((row["url"], row["payload"])).encode()).digest()
+            nth, written[name] = written[name], written[name] + 1
             if state is None or row["shard"] != state["shard"] or state["bytes"] >= roll_bytes:
                 number = state["file"] + 1 if state and row["shard"] == state["shard"] else 0
                 if state:
@@ -167,7 +188,7 @@ def _writer(root: str, roll_bytes: int, date: str):
                 info = {"WARC-Record-ID": record_id(None, name, ""), "WARC-Date": date, "WARC-Filename": name,
                         "Content-Type": "application/warc-fields"}
                 put(record("warcinfo", info, b"format: WARC File Format 1.1\r\n"), 0)
-            put(page_record(row["id"], row["url"], row["payload"], other, date), 1)
+            put(page_record(row["id"], row["url"], row["payload"], other, date, nth), 1)
         if state:
             close()
         yield from _manifest(done)
@@ -206,8 +227,9 @@ def write_warc(pages: DataFrame, root: str, shard_bytes: int = 1 << 30, roll_byt
 
     Payload: the html in UTF-8 (NULL: empty).  Of equal payloads of at least
     ``REVISIT_BYTES`` that with the largest id is a response record, the others are
-    revisits of it; repeated rows of the largest id are all responses, as are groups
-    without any id.  NULL ids go to the first shard.  The same pages, options and date give
+    revisits of it, which name its record, target and date; repeated rows of the largest id
+    are all responses, as are groups without any id.  Every record has an id of its own,
+    repeated rows too.  A NULL url is written as ``NO_URL``.  NULL ids go to the first shard.  The same pages, options and date give
     the same files.  No page: an empty manifest.
     """
     spark = pages.sparkSession
@@ -221,15 +243,15 @@ def write_warc(pages: DataFrame, root: str, shard_bytes: int = 1 << 30, roll_byt
 
     shard = F.when(F.col("id").isNull(), 0).otherwise(shard_of(F.coalesce(F.col("id"), F.lit(0)).cast("bigint")))
     nothing = rows.select("id", "url", "same", "payload").limit(0)
-    marks = nothing.unionByName(revisits(rows), allowMissingColumns=True)
+    marks = nothing.unionByName(revisits(rows, ws), allowMissingColumns=True)
     # pages and the marks of revisits meet in their shard: one shuffle of the payloads
     both = rows.select("id", "url", "same", "payload").unionByName(marks, allowMissingColumns=True).withColumn("shard", shard)
     placed = both.repartitionById(len(bounds) + 1, F.col("shard")).sortWithinPartitions(
-        "shard", "id", "same", F.col("refers_to").isNull(), "url")
+        "shard", "id", "same", F.col("refers_to").isNull(), "url", "payload")
     written = ws.stage("written", placed.mapInArrow(_writer(root, roll_bytes, date), MANIFEST))
     written.repartition(len(bounds) + 1).mapInArrow(_commit(root), MANIFEST).write.parquet(f"{root}/manifest")
     remove(spark, f"{root}/_temporary")
-    ws.drop("sizes", "written")
+    ws.drop("sizes", "written", "digests", "groups")
     return spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
 
 
@@ -254,7 +276,8 @@ def _reader(root: str, with_payload: bool):
                         if response and (len(payload) != length or hashlib.sha1(payload).hexdigest() != sha1):
                             raise ValueError(f"payload of {headers['WARC-Record-ID']} doesn't match its digest")
                         page, other = headers.get("WARC-Page-ID"), headers.get("WARC-Refers-To-Page-ID")
-                        rows.append((int(page) if page else None, headers["WARC-Target-URI"], length, sha1, headers["WARC-Type"],
+                        url = headers["WARC-Target-URI"]
+                        rows.append((int(page) if page else None, None if url == NO_URL else url, length, sha1, headers["WARC-Type"],
                                      int(other) if other else None, payload if response and with_payload else None))
                         size += len(payload) if with_payload else 100
                         if size >= 8 << 20:
@@ -270,7 +293,7 @@ def read_warc(spark: SparkSession, root: str, with_payload: bool = True) -> Data
 
     ``(page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload)``:
     bytes and digest (hex) are of the full payload, for revisits too; ``url`` is
-    percent-encoded; a revisit's ``payload`` is NULL.  A damaged or missing file fails.
+    percent-encoded, NULL as it was written; a revisit's ``payload`` is NULL.  A damaged or missing file fails.
     """
     files = spark.read.schema(MANIFEST).parquet(f"{root}/manifest").select("path")
     files = files.repartition(max(1, files.count()))
