@@ -54,9 +54,14 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: Type of :func:`row_key` where Arrow functions pass it on.
+KEY = "struct<a: bigint, b: bigint>"
+
+
 def row_key(*columns: str) -> Column:
-    """64-bit key of a row's columns: defined for NULLs; repeated rows share it."""
-    return F.xxhash64(*[F.col(c) for c in columns])
+    """128-bit key of a row's columns, as two hashes: defined for NULLs; repeated rows share it."""
+    held = [F.col(c) for c in columns]
+    return F.struct(F.xxhash64(*held).alias("a"), F.xxhash64(F.lit("second"), *held).alias("b"))
 
 
 def id_share(ids: DataFrame, bound: int, id_col: str = "id") -> DataFrame:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from memberpulse.llm.common import Workspace, row_key, slices, utf8
+from memberpulse.llm.common import KEY, Workspace, row_key, slices, utf8
 
 
 def _windows(text: bytes, size: int) -> list[tuple[int, int, int, int]]:
@@ -40,7 +40,7 @@ def line_windows(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_co
 
     id_type = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text")
-                       ).mapInArrow(run, f"hi bigint, lo bigint, id {id_type}, key bigint, first int, last int")
+                       ).mapInArrow(run, f"hi bigint, lo bigint, id {id_type}, key {KEY}, first int, last int")
 
 
 def later_occurrences(windows: DataFrame) -> DataFrame:

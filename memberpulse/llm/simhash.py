@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from memberpulse.llm.common import Workspace, row_key, slices, utf8
+from memberpulse.llm.common import KEY, Workspace, row_key, slices, utf8
 from memberpulse.llm.components import connected_components, forest
 
 BITS = 64
@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text
 
     id_type = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text")
-                       ).mapInArrow(run, f"id {id_type}, key bigint, fp bigint")
+                       ).mapInArrow(run, f"id {id_type}, key {KEY}, fp bigint")
 
 
 # --- bit-sliced comparison ------------------------------------------------------------------
