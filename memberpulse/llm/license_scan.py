@@ -210,20 +210,26 @@ def windows(files: DataFrame, vectors: list[Template], threshold: float, df: dic
     return near.select("key", "place", "template", "window", F.arrays_overlap(last, F.array(*map(F.lit, DENIALS))).alias("denied"))
 
 
-def scores(held: DataFrame, vectors: list[Template], counts: DataFrame, n: int, threshold: float) -> DataFrame:
-    """``(template, window, score)`` of every distinct window that reaches ``threshold``."""
+def scores(held: DataFrame, vectors: list[Template], counts: DataFrame, idf: dict[str, float], n: int, threshold: float) -> DataFrame:
+    """``(template, window, score)`` of every distinct window that reaches ``threshold``.
+
+    Templates' own terms, which most windows hold, get their weights by broadcast; the others
+    are joined with ``counts``.
+    """
     spark = held.sparkSession
     terms = (held.select("template", "window").distinct().select("template", "window", F.explode("window").alias("term"))
              .groupBy("template", "window", "term").agg(F.count("*").alias("tf")))
-    wanted = terms.select("term").distinct()
-    weighed = wanted.join(counts, "term").select("term", (F.log((1 + n) / (1 + F.col("df"))) + 1).alias("idf"))
     # some rows a template
+    known = F.broadcast(spark.createDataFrame(sorted(idf.items()), "term string, idf double"))
+    others = terms.join(known, "term", "left_anti")
+    weighed = others.select("term").distinct().join(counts, "term").select("term", (F.log((1 + n) / (1 + F.col("df"))) + 1).alias("idf"))
+    terms = terms.join(known, "term").unionByName(others.join(weighed, "term"))
     factors = F.broadcast(spark.createDataFrame([(i, v.factor) for i, v in enumerate(vectors)], "template int, factor double"))
     table = F.broadcast(spark.createDataFrame([(i, t, math.sqrt(w)) for i, v in enumerate(vectors) for t, w in sorted(v.squared.items())],
                                               "template int, term string, w double"))
     tells = F.col("term").rlike("^[0-9]+$") | F.col("term").isin(*VARIANTS)
     v = F.col("tf") * F.col("idf") * F.when(tells, F.col("factor")).otherwise(1.0)
-    rows = terms.join(weighed, "term").join(factors, "template").join(table, ["template", "term"], "left").select(
+    rows = terms.join(factors, "template").join(table, ["template", "term"], "left").select(
         "template", "window", v.alias("v"), F.coalesce("w", F.lit(0.0)).alias("w"))
     return rows.groupBy("template", "window").agg(F.round(
         F.sum(F.col("v") * F.col("w")) / F.sqrt(F.sum(F.col("v") * F.col("v"))), 6).alias("score")).where(F.col("score") >= threshold)
@@ -285,9 +291,10 @@ def license_scan(files: DataFrame, templates=TEMPLATES, threshold: float = 0.75,
     n, counts = files.count(), ws.stage("counts", term_counts(files, text_col))
     wanted = sorted({t for _, text in templates for t in _terms(text)})
     df = {r["term"]: r["df"] for r in counts.where(F.col("term").isin(wanted)).collect()}      # one row per template term
-    vectors = template_vectors(templates, {t: math.log((1 + n) / (1 + df.get(t, 0))) + 1 for t in wanted})
+    idf = {t: math.log((1 + n) / (1 + df.get(t, 0))) + 1 for t in wanted}
+    vectors = template_vectors(templates, idf)
     held = ws.stage("windows", windows(texts, vectors, threshold, df))
-    scored = ws.stage("scores", scores(held, vectors, counts, n, threshold))
+    scored = ws.stage("scores", scores(held, vectors, counts, idf, n, threshold))
     own = ws.stage("own", own_licences(held, scored, vectors, margin))
     ws.drop("windows", "scores", "counts")
     key = row_key(id_col, path_col, text_col).alias("key")
