@@ -12,12 +12,16 @@ r AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words
       FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM c WHERE n > 1) GROUP BY 1),
 m AS (SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(lines) AS BIGINT) AS n_lines,
-        CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
+        CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+        len(list_filter(w, lambda x: NOT regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) AS n_no_letter,
+        len(list_filter(lines, lambda l: regexp_matches(l, '^[\x20\x09\x0B-\x0D]*[*+•‣▪-][\x20\x09]'))) AS n_bullets,
+        len(list_filter(lines, lambda l: regexp_matches(l, '(\.\.\.|…)[\x20\x09\x0B-\x0D]*$'))) AS n_ellipsis
       FROM w LEFT JOIN r ON w.doc_id = r.doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR word_chars < 2 * n_words OR word_chars > 14 * n_words
-       OR 10 * n_symbols > n_words OR (n_lines >= 3 AND 100 * n_dup_lines > 50 * n_lines)) AS kept
+       OR 10 * n_symbols > n_words OR (n_lines >= 3 AND 100 * n_dup_lines > 50 * n_lines) OR 100 * n_no_letter > 30 * n_words
+       OR (n_lines >= 3 AND (100 * n_bullets > 90 * n_lines OR 100 * n_ellipsis > 30 * n_lines))) AS kept
 FROM m
 """
 

@@ -1,44 +1,58 @@
 """Quality rules as a short-circuit cascade, ordered by rejections per cost; no Python on the data path.
 
-A rule is a condition that rejects a text, with the steps that a text costs it as an
-expression of the text's size.  On a sample the cascade measures the share of texts that
-each rule rejects and the mean number of its steps; rules then run in the order of
-rejection share per cost, as the branches of one CASE expression, so that a text leaves at
-its first failing rule.  Steps are counted, not timed: equal data give an equal order.  The
-order changes the work, never the verdict.
+A rule is a condition that rejects a text.  Some need only the measures that the result
+has anyway; the others read the text again.  On a sample the cascade counts how many texts
+each rule rejects and times how long it takes to tell; rules then run in the order of
+rejections per time, as the branches of one CASE expression.  Its branches are evaluated
+one after the other, so a text leaves at its first failing rule and costs nothing in those
+behind it.  The order changes the work, never the verdict.
 """
 
 from __future__ import annotations
 
+import time
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from memberpulse.llm.common import Workspace
+
 WORD_GAP = r"[\x20\x09-\x0D]+"
 SYMBOLS = "[#*$%&|<>]"
 
 
+#: Times that the sample's rows are told by a rule while it is timed, and runs of which the fastest counts.
+REPEATS, RUNS = 8, 3
+
+
 @dataclass(frozen=True)
 class Rule:
-    """``rejects``: SQL condition over the measures; ``work``: SQL expression over them, the steps of one text."""
+    """``rejects``: SQL condition over the measures and the text ``t`` (never NULL)."""
 
     name: str
     rejects: str
-    work: str
 
 
 #: The base rules: too short, or more than half of the words in repeated three-word windows.
 BASE = (
-    Rule("short", "n_words < 50", "n_chars"),
-    Rule("repetition", "100 * n_repeat_words > 50 * n_words", "n_chars + 8 * n_words * log2(n_words + 2)"),
+    Rule("short", "n_words < 50"),
+    Rule("repetition", "100 * n_repeat_words > 50 * n_words"),
 )
-#: The cascade's further rules.
+# Words without a letter; lines that begin with a bullet; lines that end in an ellipsis.
+NO_LETTER = r"(?<![^\x20\x09-\x0D])[^A-Za-z\x80-\x{10FFFF}\x20\x09-\x0D]++(?![^\x20\x09-\x0D])"
+BULLET = r"(?m)^[\x20\x09\x0B-\x0D]*+[*+\u2022\u2023\u25AA-][\x20\x09]"
+ELLIPSIS = r"(?m)(?:\.\.\.|\u2026)[\x20\x09\x0B-\x0D]*+$"
+#: The cascade's further rules; the last three read the text again.
 FURTHER = (
-    Rule("word_length_low", "word_chars < 2 * n_words", "n_chars + n_words"),
-    Rule("word_length_high", "word_chars > 14 * n_words", "n_chars + n_words"),
-    Rule("symbols", "10 * n_symbols > n_words", "2 * n_chars"),
-    Rule("repeated_lines", "n_lines >= 3 AND 100 * n_dup_lines > 50 * n_lines", "2 * n_chars + n_lines"),
+    Rule("word_length_low", "word_chars < 2 * n_words"),
+    Rule("word_length_high", "word_chars > 14 * n_words"),
+    Rule("symbols", "10 * n_symbols > n_words"),
+    Rule("repeated_lines", "n_lines >= 3 AND 100 * n_dup_lines > 50 * n_lines"),
+    Rule("words_without_letters", f"100 * regexp_count(t, r'{NO_LETTER}') > 30 * n_words"),
+    Rule("bullet_lines", f"n_lines >= 3 AND 100 * regexp_count(t, r'{BULLET}') > 90 * n_lines"),
+    Rule("ellipsis_lines", f"n_lines >= 3 AND 100 * regexp_count(t, r'{ELLIPSIS}') > 30 * n_lines"),
 )
 
 
@@ -80,7 +94,7 @@ def _repeated(docs: DataFrame) -> DataFrame:
 
 
 def measures(docs: DataFrame, text_col: str = "text", keep: str = "row") -> DataFrame:
-    """``keep`` (a struct of the row) and the measures of every text.
+    """``keep`` (a struct of the row), the text ``t`` and the measures of every text.
 
     ``n_chars``, ``n_words``, ``word_chars`` (code points in words), ``n_symbols``, ``n_lines``
     (lines with a word), ``n_dup_lines`` (of these, equal to an earlier one), ``n_repeat_words``.
@@ -91,39 +105,57 @@ def measures(docs: DataFrame, text_col: str = "text", keep: str = "row") -> Data
     base = base.withColumn("n_words", F.size("w").cast("long"))
     out = _repeated(base)
     return out.select(
-        keep, F.length("t").cast("long").alias("n_chars"), "n_words", F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
+        keep, "t", F.length("t").cast("long").alias("n_chars"), "n_words", F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         F.regexp_count("t", F.lit(SYMBOLS)).cast("long").alias("n_symbols"), F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), "n_repeat_words")
 
 
-def rule_order(docs: DataFrame, rules: tuple[Rule, ...], text_col: str = "text", sample_rows: int = 2000) -> list[Rule]:
-    """Rules by falling rejection share per mean work on about ``sample_rows`` texts (chosen by text hash).
+def rule_order(docs: DataFrame, rules: Sequence[Rule], text_col: str = "text", sample_rows: int = 2000) -> list[Rule]:
+    """Rules by falling rejections per second on about ``sample_rows`` texts (chosen by text hash).
 
-    The sample sets the order only.  Ties and an empty sample: by work, then as given.
+    The measured sample is staged; each rule's job counts its rejections and is timed, less
+    the time of a job without a rule.  The sample sets the order only.  Ties and an empty
+    sample: by time, then as given.
     """
+    ws = Workspace(docs.sparkSession)
     n = docs.count()
     share = min(1.0, sample_rows / n) if n else 1.0
-    sample = docs.where(F.pmod(F.xxhash64(text_col), F.lit(1 << 30)) < int(share * (1 << 30)))
-    found = measures(sample, text_col).agg(F.count("*").alias("n"), *[F.struct(
-        F.count_if(F.expr(r.rejects)).alias("rejected"), F.avg(F.expr(r.work)).alias("work")).alias(r.name) for r in rules]).first()
-    work = {r.name: max(1.0, found[r.name]["work"] or 0.0) for r in rules}
-    gain = {r.name: found[r.name]["rejected"] / max(1, found["n"]) / work[r.name] for r in rules}
-    return sorted(rules, key=lambda r: (-gain[r.name], work[r.name]))
+    chosen = docs.where(F.pmod(F.xxhash64(text_col), F.lit(1 << 30)) < int(share * (1 << 30)))
+    sample = ws.stage("sample", measures(chosen, text_col, "row").drop("row"))
+    rows = sample.withColumn("again", F.explode(F.sequence(F.lit(1), F.lit(REPEATS))))
+
+    def told(rejects: str) -> tuple[int, float]:
+        seconds = []
+        for _ in range(RUNS):
+            begin = time.perf_counter()
+            found = rows.agg(F.count_if(F.expr(rejects)), F.max(F.octet_length("t"))).first()[0]
+            seconds.append(time.perf_counter() - begin)
+        return found, min(seconds)
+
+    idle = told("false")[1]
+    cost, gain = {}, {}
+    for rule in rules:
+        rejected, seconds = told(rule.rejects)
+        cost[rule.name] = max(1e-4, seconds - idle)
+        gain[rule.name] = rejected / cost[rule.name]
+    ws.drop("sample")
+    return sorted(rules, key=lambda r: (-gain[r.name], cost[r.name]))
 
 
 def cascade(docs: DataFrame, rules: tuple[Rule, ...] = FURTHER, base: tuple[Rule, ...] = BASE, text_col: str = "text",
-            sample_rows: int = 2000) -> DataFrame:
+            sample_rows: int = 2000, order: Sequence[Rule] | None = None) -> DataFrame:
     """``row`` (all columns of ``docs``), the measures, ``base_failed``, ``failed_rule`` and ``kept``.
 
     ``failed_rule``: the first rule in cascade order that rejects the text, NULL for kept
-    ones.  NULL and empty texts have no word and fail as short.  Repeated rows are judged
-    alike; ``docs`` may have any other columns.
+    ones; rules behind it are not evaluated for that text.  ``order``: the rules in an order
+    of the caller's (no sample is taken then).  NULL and empty texts have no word and fail
+    as short.  Repeated rows are judged alike; ``docs`` may have any other columns.
     """
-    order = rule_order(docs, base + rules, text_col, sample_rows)
+    order = rule_order(docs, base + rules, text_col, sample_rows) if order is None else order
     measured = measures(docs, text_col)
     verdict = F.lit(None).cast("string")
     for rule in reversed(order):
         verdict = F.when(F.expr(rule.rejects), rule.name).otherwise(verdict)
     failed = F.expr(" OR ".join(f"({r.rejects})" for r in base))
-    return measured.withColumn("base_failed", failed).withColumn("failed_rule", verdict).withColumn(
-        "kept", F.col("failed_rule").isNull())
+    judged = measured.select("*", failed.alias("base_failed"), verdict.alias("failed_rule"))
+    return judged.select("*", F.col("failed_rule").isNull().alias("kept")).drop("t")

@@ -295,3 +295,37 @@ def test_fuzzy_recall(spark):
         covered[kinds][1] += stop - start
     for kinds, (found, words) in covered.items():
         assert found >= 0.9 * words, (kinds, found / words)
+
+
+# --- decontamination ------------------------------------------------------------------------
+
+def test_blocks_of_the_benchmark_change_nothing(spark):
+    """One shingle a block, some, and all at once; items of 1 to 30 words."""
+    from memberpulse.llm import decontaminate
+
+    rng = random.Random(12)
+    long = sentence(rng, 30).split()
+    items = [(1, " ".join(long)), (2, "ba de fi"), (3, sentence(rng, 13)), (4, "Go"), (5, " ".join(long[5:25])), (6, None), (7, "lu lu lu lu lu lu")]
+    docs = [(i, " ".join([sentence(rng, 4), *long[i: i + 16], items[2][1], "lu " * (i % 9), "ba DE fi" if i % 2 else "go"])) for i in range(14)]
+    docs += [(50, None), (51, ""), (52, "..."), (53, "go"), (53, "go"), (None, "GO go")]
+    frames = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    out = [sorted(map(str, decontaminate.decontamination_report(*frames, block=b).collect())) for b in (200_000, 60, 25)]
+    assert out[0] == out[1] == out[2] and len(out[0]) == len(docs)
+
+
+def test_only_the_rarest_shingle_of_a_window_is_joined(spark):
+    """A window of common shingles and one rare one is searched by the rare one alone, and nothing is shuffled but hits."""
+    from memberpulse.llm import decontaminate
+    from memberpulse.llm.common import Workspace, row_key
+
+    common, rare = "ba de fi go lu mi no pe", "zu zo za ze zi"
+    docs = spark.createDataFrame([(i, common + " x") for i in range(50)] + [(99, f"a {common} {rare} b")], "id bigint, text string")
+    docs = docs.select("id", row_key("id", "text").alias("key"), "text")
+    windows = decontaminate.benchmark_windows(spark.createDataFrame([(1, f"{common} {rare}")], "item_id bigint, text string"), 13)
+    shingles = decontaminate.window_shingles(windows, 5)
+    counted, seen = decontaminate.rarity(docs, shingles, [5], Workspace(spark), "seen")
+    assert seen.count() == 51 and {r["df"] for r in counted.collect()} == {1, 51}
+    held = decontaminate.held_windows(docs, shingles, counted, [5])
+    assert [(r["start"], r["size"]) for r in held.collect()] == [(1, 13)]
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "SortMergeJoin [len" not in plan and "Python" not in plan

@@ -34,7 +34,9 @@ def edge_rows() -> list[tuple]:
     rows = [(1, None, "en", "a", None), (2, "", "en", "a", 0), (3, " \n\t ", None, None, 4), (4, long, "en", "b", len(long)),
             (5, long, "fr", "b", len(long)), (None, shared, "en", "a", 1), (7, shared, None, "a", 1), (7, shared, None, "a", 1),
             (7, sentence(rng, 80), "fr", "c", 1), (8, shared + "\n" + sentence(rng, 60), "fr", "c", 1), (9, "one", "en", "c", 3),
-            (10, "Ünï çôdé #|* " * 40, "de", "d", 1)]
+            (10, "Ünï çôdé #|* " * 40, "de", "d", 1), (11, "\n".join("- " + sentence(rng, 9) for _ in range(9)), "de", "d", 1),
+            (12, "\n".join(sentence(rng, 20) + (" ... " if i % 2 else "…") for i in range(5)), "de", "d", 1),
+            (13, "42 -- 7.5 !? " * 12 + sentence(rng, 70), "de", "d", 1), (14, "a 1é ½ _ " + sentence(rng, 60), "de", "d", 1)]
     return rows + [(20 + i, sentence(rng, 60), ["en", "fr"][i % 2], "a", 1) for i in range(12)]
 
 
@@ -107,11 +109,28 @@ def test_rule_order_does_not_change_the_verdict(edges):
     rules = quality_cascade.BASE + quality_cascade.FURTHER
     order = quality_cascade.rule_order(edges, rules)
     assert sorted(r.name for r in order) == sorted(r.name for r in rules)
-    made = [quality_cascade.Rule(name, rejects, work) for name, rejects, work in (
-        ("never", "n_words < 0", "1"), ("dear", "n_words > 1", "1000 + n_words"), ("cheap", "n_words > 1", "n_words"))]
-    assert [r.name for r in quality_cascade.rule_order(edges, tuple(made))] == ["cheap", "dear", "never"]
-    kept = {o: [r["kept"] for r in quality_cascade.cascade(edges, sample_rows=o).orderBy("row.doc_id", "n_words").collect()] for o in (1, 100)}
-    assert kept[1] == kept[100]
+    kept = {str(o): [r["kept"] for r in quality_cascade.cascade(edges, order=o).orderBy("row.doc_id", "n_words").collect()]
+            for o in (rules, rules[::-1], order)}
+    assert len({str(v) for v in kept.values()}) == 1
+
+
+def test_rules_are_ordered_by_rejections_per_time(spark):
+    rng = random.Random(4)
+    docs = spark.createDataFrame([(i, sentence(rng, 60 + i % 7)) for i in range(400)], "doc_id bigint, text string")
+    slow = "length(concat_ws(' ', transform(sequence(1, 60), i -> sha2(concat(t, i), 512)))) > 0 AND n_words > 1"
+    made = [quality_cascade.Rule(*x) for x in (("never", "n_words < 0"), ("dear", slow), ("cheap", "n_words > 1"))]
+    assert [r.name for r in quality_cascade.rule_order(docs, made)] == ["cheap", "dear", "never"]
+    assert quality_cascade.rule_order(docs.limit(0), made)
+
+
+def test_a_rejected_text_never_reaches_a_later_rule(spark, edges):
+    """Later rules that fail on evaluation stay silent for rejected texts, and speak up for one that gets there."""
+    trap = quality_cascade.Rule("trap", "raise_error('reached') IS NULL AND regexp_count(t, 'x') > 0")
+    short = spark.createDataFrame([(i, "few words") for i in range(20)] + [(99, None)], "doc_id bigint, text string")
+    out = quality_cascade.cascade(short, order=[quality_cascade.BASE[0], trap])
+    assert {(r["failed_rule"], r["kept"], r["base_failed"]) for r in out.collect()} == {("short", False, True)}
+    with pytest.raises(Exception, match="reached"):
+        quality_cascade.cascade(edges, order=[quality_cascade.BASE[0], trap]).collect()
 
 
 # --- SimHash --------------------------------------------------------------------------------
