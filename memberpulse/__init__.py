@@ -1,7 +1,8 @@
 """memberpulse — membership and engagement analytics as Spark DataFrame operators.
 
 Every operator is a pure ``DataFrame -> DataFrame`` function built from
-``pyspark.sql.functions`` and Catalyst built-ins (no Python UDFs).  Run-time
+``pyspark.sql.functions`` and Catalyst built-ins (no Python UDFs; only the byte-for-byte
+archive copies files in Python tasks).  Run-time
 inputs such as the run date (``as_of``), the wall clock (``now``), the random
 seed and the local time zone are explicit parameters; nothing reads the clock.
 
@@ -11,7 +12,6 @@ Sub-packages:
 * ``operators``  the report, KPI, upkeep and registry operators
 * ``sources``    readers, writers and the test-table adapters
 * ``plans``      named queries, the DuckDB oracle texts and the three jobs
-* ``streaming``  intentionally empty (the reference has no streaming work)
 """
 
 from memberpulse.session import get_session, shared_dir

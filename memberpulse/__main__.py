@@ -8,8 +8,9 @@
         --now "2024-01-22 05:00:00" --member-limit 1000 --seed 7 [--deleted-ids T] \\
         [--failed-invites T] [--fresh-member-pages DIR]
 
-Tables (T) are catalog names or parquet paths.  Each command prints the
-written locations as one JSON object.
+Tables (T) are catalog names or parquet paths; the registry may be a ``registry_table``,
+which is then changed in place.  Each command prints the written locations, and what its
+reads counted, as one JSON object.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from memberpulse.functions.temporal import DEFAULT_TZ
 from memberpulse.plans import jobs
-from memberpulse.session import get_session, sizing_conf
+from memberpulse.session import DEFAULT_SHUFFLE_BYTES, get_session, input_bytes, sizing_conf
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -36,11 +37,12 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--as-of", required=True, help="run date, local calendar (YYYY-MM-DD)")
     s.add_argument("--active", required=True, help="SQL condition over web events that counts as active use")
     s.add_argument("--null-period", choices=("epoch", "drop"), default="epoch")
+    s.add_argument("--max-rejected", type=int, help="fail if more rows have no identity, or bad dates or amounts")
 
     n = sub.add_parser("newsletter-kpis", help="member, subscriber and newsletter KPIs per language")
     n.add_argument("--member-pages", required=True)
     n.add_argument("--post-pages", required=True)
-    n.add_argument("--kpi-root", required=True)
+    n.add_argument("--kpi-root", default="", help="folder of the KPI tables; without it they are catalog tables")
     n.add_argument("--archive-root", required=True)
     n.add_argument("--as-of", required=True)
 
@@ -54,28 +56,43 @@ def _parser() -> argparse.ArgumentParser:
     m.add_argument("--deleted-ids")
     m.add_argument("--failed-invites")
     m.add_argument("--fresh-member-pages")
+    m.add_argument("--max-rejected", type=int, help="fail if more registry rows have no email")
+    for sp in (n, m):
+        sp.add_argument("--page", default="page", help="the landed documents' field with their page number, 'file name', or 'none'")
 
     for sp in (s, n, m):
         sp.add_argument("--tz", default=DEFAULT_TZ)
-        sp.add_argument("--input-bytes", type=int, default=0, help="size of the input: sizes scan splits and shuffles")
+        sp.add_argument("--input-bytes", type=int, default=0, help="size of the input, which sizes scan splits and shuffles; else that of the input paths")
         sp.add_argument("--master", default=None, help="only outside spark-submit, e.g. local[8]")
     return p
 
 
+def _inputs(args: argparse.Namespace) -> list[str]:
+    """The input paths of a command; catalog names have none."""
+    given = vars(args)
+    names = ("memberships", "app_events", "web_events", "member_pages", "post_pages", "registry", "fresh_member_pages")
+    return [given[n] for n in names if given.get(n) and "/" in given[n]]
+
+
 def main(argv: list[str] | None = None) -> dict:
     args = _parser().parse_args(argv)
-    spark = get_session(args.master, conf=sizing_conf(args.input_bytes) if args.input_bytes else None)
+    spark = get_session(args.master)
+    size = args.input_bytes or input_bytes(spark, _inputs(args))
+    if size > DEFAULT_SHUFFLE_BYTES:                       # below, Spark's own settings are as large
+        for key, value in sizing_conf(size).items():
+            spark.conf.set(key, value)
+    page = None if getattr(args, "page", None) == "none" else getattr(args, "page", None)
     if args.job == "service-report":
         out = jobs.run_service_report(spark, args.memberships, args.app_events, args.web_events, args.out,
-                                      args.as_of, F.expr(args.active), args.tz, args.null_period)
+                                      args.as_of, F.expr(args.active), args.tz, args.null_period, args.max_rejected)
     elif args.job == "newsletter-kpis":
         out = jobs.run_newsletter_kpis(spark, args.member_pages, args.post_pages, args.kpi_root,
-                                       args.archive_root, args.as_of, args.tz)
+                                       args.archive_root, args.as_of, args.tz, page=page)
     else:
         out = jobs.run_member_upkeep(spark, args.member_pages, args.registry, args.out, args.now,
                                      args.member_limit, args.seed, args.deleted_ids, args.failed_invites,
-                                     args.fresh_member_pages)
-    print(json.dumps(out))
+                                     args.fresh_member_pages, page, args.max_rejected)
+    print(json.dumps({**out, "metrics": getattr(out, "metrics", {})}))
     return out
 
 

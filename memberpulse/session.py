@@ -99,6 +99,15 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
 
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Bytes of the files under ``paths``; paths that aren't there have none."""
+    total = 0
+    for path in paths:
+        fs, p = _file_system(spark, path)
+        total += fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+    return total
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """``path`` as a URI with its store's scheme and authority."""
     fs, p = _file_system(spark, path)
@@ -115,8 +124,12 @@ def replace_path(spark: SparkSession, new: str, target: str) -> None:
         raise OSError(f"could not move {new} to {target}")
 
 
-def sizing_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Partition sizing for an input of ``input_bytes`` (pass to ``get_session(conf=...)``).
+#: What Spark's default of 200 shuffle partitions holds at the target size.
+DEFAULT_SHUFFLE_BYTES = 200 * (256 << 20)
+
+
+def sizing_conf(size: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for an input of ``size`` bytes (pass to ``get_session(conf=...)`` or set on a session).
 
     * scan splits of ``target_partition_bytes`` (columnar input decoded to a few
       times its size still fits an executor core's memory share);
@@ -128,7 +141,7 @@ def sizing_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> di
     At 100 TB this gives ~400k scan tasks and as many initial shuffle partitions,
     coalesced at run time.
     """
-    shuffle = max(200, -(-input_bytes // target_partition_bytes))
+    shuffle = max(200, -(-size // target_partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(shuffle),
