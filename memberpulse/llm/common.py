@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -14,16 +16,42 @@ from pyspark.sql import functions as F
 from memberpulse.session import shared_dir
 
 
+_scopes: ContextVar[tuple[list[Workspace], ...]] = ContextVar("scopes", default=())
+
+
+@contextmanager
+def temporary_tables() -> Iterator[None]:
+    """Inside, staged tables belong to the caller: all of them are removed at the end.
+
+    An operator's lazy result reads tables that it has staged, so it is written or counted
+    inside: ``with temporary_tables(): dedup_lines(docs).write.parquet(path)``.  Without it
+    those tables stay under the shared folder.
+    """
+    opened: list[Workspace] = []
+    token = _scopes.set((*_scopes.get(), opened))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        for ws in opened:
+            ws.close()
+
+
 class Workspace:
     """Tables written to the cluster's shared folder by one operator call.
 
     ``stage`` cuts lineage with a Parquet table (a lost executor rereads it, nothing is
-    recomputed); ``drop`` removes tables whose readers are finished.
+    recomputed); ``drop`` removes tables whose readers are finished, ``close`` all of them.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = shared_dir(spark)
+        if _scopes.get():
+            _scopes.get()[-1].append(self)
+
+    def close(self) -> None:
+        remove(self.spark, self.root)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"

@@ -156,3 +156,28 @@ def test_packed_pieces_hold_every_kept_document(spark):
     for spots in places.values():
         ends = np.cumsum([n for _, n in sorted(spots)])
         assert [o for o, _ in sorted(spots)] == [0, *ends[:-1].tolist()] and ends[-1] <= 1024
+
+
+def test_staged_tables_go_with_their_scope(spark):
+    """Every operator's tables are removed at the end of a scope; a scope inside another keeps to its own."""
+    import os
+
+    from memberpulse.llm import decontaminate, lexical_search, license_scan, line_dedup, packing, simhash, substring_dedup
+    from memberpulse.llm.common import temporary_tables
+
+    docs = spark.createDataFrame(edge_rows(), DOCS)
+    items = spark.createDataFrame([(1, edge_rows()[6][1])], "item_id bigint, text string")
+    base = os.path.join(spark.sparkContext.getCheckpointDir().removeprefix("file:"), "memberpulse")
+    held = lambda: {d for d in (os.listdir(base) if os.path.isdir(base) else []) if os.listdir(f"{base}/{d}")}
+    before = held()
+    with temporary_tables():
+        outer = Workspace(spark)
+        kept = outer.stage("kept", docs.limit(1))
+        for run in (lambda: simhash.simhash_groups(docs), lambda: packing.pack_documents(docs), lambda: line_dedup.dedup_lines(docs),
+                    lambda: substring_dedup.shared_passages(docs), lambda: decontaminate.clean_documents(docs, items),
+                    lambda: license_scan.license_scan(docs.withColumnRenamed("source", "path")), lambda: lexical_search.lexical_search(docs, items)):
+            with temporary_tables():
+                run().count()
+            assert len(held() - before) == 1
+        assert kept.count() == 1
+    assert held() == before
