@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from memberpulse.llm import decontaminate, line_dedup, packing, simhash, toxicity
-from memberpulse.llm.common import Workspace
+from memberpulse.llm.common import Workspace, temporary_tables
 from memberpulse.llm.queries import table
 
 
@@ -75,11 +75,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to ``documents``."""
+    """The stages applied to ``documents``.
+
+    What a stage's operator has staged is removed once the stage's rows are written; the
+    tables that the last stage's lazy rows read stay until the caller is done with them
+    (``temporary_tables``).
+    """
     ws = Workspace(spark)
     docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = ws.stage(name, stage(spark, docs, sf_dir))
+        with temporary_tables():
+            docs = ws.stage(name, stage(spark, docs, sf_dir))
         if last:
             ws.drop(last)
         last = name
