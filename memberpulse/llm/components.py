@@ -30,12 +30,31 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[child], nodes[label[child]]
 
 
+#: A node with more than this share of all links, and more than so many, is a hub.
+HUB_SHARE, LEAST_HUB = 10_000, 256
+
+
+def _with_least(edges: DataFrame, low: DataFrame, links: int) -> DataFrame:
+    """``edges(a, b)`` with ``m`` of ``low(a, m, n)``; ``n`` is the node's number of links, ``links`` that of all.
+
+    A hub's links are dealt to as many tasks as it has shares, each with a copy of its row.
+    At most 2 * HUB_SHARE nodes are hubs, whatever the number of links, so their list is broadcast.
+    """
+    hub = max(LEAST_HUB, links // HUB_SHARE)
+    parts = F.when(F.col("n") > hub, F.ceil(F.col("n") / hub)).otherwise(1).cast("int")
+    hubs = F.broadcast(low.where(F.col("n") > hub).select("a", parts.alias("parts")))
+    dealt = edges.join(hubs, "a", "left").select("a", "b", F.coalesce(
+        F.pmod(F.xxhash64("b"), F.col("parts")), F.lit(0)).cast("int").alias("part"))
+    copies = low.select("a", "m", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    return dealt.join(copies, ["a", "part"]).select("a", "b", "m")
+
+
 def connected_components(edges: DataFrame, ws: Workspace, prefix: str = "cc") -> DataFrame:
     """``(node, component)`` for every node of ``edges(a, b)``: component = the smallest node reachable.
 
     Both star steps are a grouped minimum (combined map-side) and a join back on the same
-    key, so a hub with a third of all edges is pre-aggregated and its join partition can be
-    split; no group is ever collected.  Every round is a staged table; the previous one is
+    key, in which a hub's links are dealt to several tasks by their measured number; no
+    group is ever collected.  Every round is a staged table; the previous one is
     dropped.  NULL ends and self loops are ignored.  No edges: an empty table.
     """
     current = ws.stage(f"{prefix}_0", edges.where("a <> b").select(
@@ -43,11 +62,11 @@ def connected_components(edges: DataFrame, ws: Workspace, prefix: str = "cc") ->
     signature, step = _signature(current), 0
     while signature[0]:
         both = current.union(current.select("b", "a"))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = (both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        low = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
+        large = (_with_least(both.where("b > a"), low, signature[0]).select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .where("a <> b").distinct())
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.explode(F.array(
+        low = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        small = _with_least(large, low, signature[0]).select(F.explode(F.array(
             F.struct(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b")),
             F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").where("a <> b").distinct()
         step += 1
