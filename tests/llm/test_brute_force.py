@@ -329,3 +329,40 @@ def test_only_the_rarest_shingle_of_a_window_is_joined(spark):
     assert [(r["start"], r["size"]) for r in held.collect()] == [(1, 13)]
     plan = held._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "SortMergeJoin [len" not in plan and "Python" not in plan
+
+
+def test_hubs_are_dealt_out(spark, monkeypatch):
+    """Hubs of many links, split by their measured number: the same components, and no task with all of a hub's links."""
+    from test_operators import components_of
+
+    from memberpulse.llm import components
+    from memberpulse.llm.common import Workspace
+
+    rng = random.Random(3)
+    links = [(0, i) for i in range(1, 900)] + [(5000 + i, 5000) for i in range(1, 700)] + [(10_000 + i, 10_001 + i) for i in range(60)]
+    links += [(rng.randrange(20_000, 20_400), rng.randrange(20_000, 20_400)) for _ in range(300)]
+    want = components_of(sorted({x for e in links for x in e}), links)
+    want = {n: c for n, c in want.items() if any(n in e and e[0] != e[1] for e in links)}
+    edges = spark.createDataFrame(links, "a bigint, b bigint")
+    for least in (20, 256):
+        monkeypatch.setattr(components, "LEAST_HUB", least)
+        found = {r["node"]: r["component"] for r in components.connected_components(edges, Workspace(spark)).collect()}
+        assert found == want
+    monkeypatch.setattr(components, "LEAST_HUB", 100)
+    low = edges.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+    dealt = components._with_least(edges, low, len(links))
+    assert dealt.count() == len(links)
+    hub = dealt.where("a = 0").select(F.xxhash64("b") % 9).distinct().count()
+    assert hub > 1 and {r["m"] for r in dealt.where("a = 0").collect()} == {1}
+
+
+def test_hot_first_holders_change_nothing(spark, monkeypatch):
+    """A passage of one document that hundreds repeat: the same rows with its chains dealt out."""
+    rng = random.Random(2)
+    passage = sentence(rng, 70)
+    docs = spark.createDataFrame([(i, f"{sentence(rng, 20)} {passage} {sentence(rng, 10 + i % 5)}") for i in range(120)], "doc_id bigint, text string")
+    out = []
+    for least in (2_000, 7):
+        monkeypatch.setattr(substring_dedup, "LEAST_SHARE", least)
+        out.append(sorted(map(str, substring_dedup.shared_passages(docs.repartition(5)).collect())))
+    assert out[0] == out[1] and len(out[0]) >= 119
