@@ -43,12 +43,24 @@ def line_windows(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_co
                        ).mapInArrow(run, f"hi bigint, lo bigint, id {id_type}, key {KEY}, first int, last int")
 
 
-def later_occurrences(windows: DataFrame) -> DataFrame:
-    """``(key, first, last)`` of every window occurrence but its first by (id, key, line)."""
+#: A window with more than one in so many of all occurrences, and more than so many, is told its origin by broadcast.
+SHARES, LEAST_SHARE = 10_000, 2_000
+
+
+def later_occurrences(windows: DataFrame, ws: Workspace) -> DataFrame:
+    """``(key, first, last)`` of every window occurrence but its first by (id, key, line).
+
+    Occurrences of very common windows stay in their tasks: there are at most ``SHARES`` such
+    windows, whatever the input's size.
+    """
     place = F.struct("id", "key", "first")
-    origin = windows.groupBy("hi", "lo").agg(F.min(place).alias("origin"), F.max(place).alias("final"))
-    repeated = origin.where("origin <> final").select("hi", "lo", "origin")
-    return windows.join(repeated, ["hi", "lo"]).where(~place.eqNullSafe(F.col("origin"))).select("key", "first", "last")
+    origin = windows.groupBy("hi", "lo").agg(F.min(place).alias("origin"), F.max(place).alias("final"), F.count("*").alias("n"))
+    repeated = ws.stage("origins", origin.where("origin <> final").select("hi", "lo", "origin", "n"))
+    share = max(LEAST_SHARE, windows.count() // SHARES)
+    common, rest = repeated.where(F.col("n") > share), repeated.where(F.col("n") <= share)
+    found = windows.join(F.broadcast(common), ["hi", "lo"]).unionByName(
+        windows.join(F.broadcast(common.select("hi", "lo")), ["hi", "lo"], "left_anti").join(rest, ["hi", "lo"]))
+    return found.where(~place.eqNullSafe(F.col("origin"))).select("key", "first", "last")
 
 
 def _without(text: Column, spans: Column) -> tuple[Column, Column]:
@@ -82,9 +94,9 @@ def dedup_lines(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col
     """
     ws = Workspace(docs.sparkSession)
     windows = ws.stage("windows", line_windows(docs, size, id_col, text_col))
-    later = later_occurrences(windows)
+    later = later_occurrences(windows, ws)
     spans = ws.stage("spans", later.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("spans")))
-    ws.drop("windows")
+    ws.drop("windows", "origins")
     whole = docs.select(F.struct("*").alias("row"), row_key(id_col, text_col).alias("key")).join(
         spans.hint("merge"), "key", "left")     # spans grow with the input: the same plan at every size
     text = F.col("row")[text_col]

@@ -366,3 +366,17 @@ def test_hot_first_holders_change_nothing(spark, monkeypatch):
         monkeypatch.setattr(substring_dedup, "LEAST_SHARE", least)
         out.append(sorted(map(str, substring_dedup.shared_passages(docs.repartition(5)).collect())))
     assert out[0] == out[1] and len(out[0]) >= 119
+
+
+def test_common_windows_by_broadcast_change_nothing(spark, monkeypatch):
+    from memberpulse.llm import line_dedup
+
+    rng = random.Random(5)
+    common = "\n".join(sentence(rng, 5) for _ in range(4))
+    docs = spark.createDataFrame([(i % 90, f"{sentence(rng, 4)}\n{common}\n{sentence(rng, 3)}" if i % 3 else None) for i in range(150)],
+                                 "doc_id bigint, text string")
+    out = []
+    for least in (2_000, 5):
+        monkeypatch.setattr(line_dedup, "LEAST_SHARE", least)
+        out.append(sorted(map(str, line_dedup.dedup_lines(docs.repartition(4)).collect())))
+    assert out[0] == out[1]
