@@ -34,7 +34,7 @@ class JobResult(dict):
 
     def note(self, name: str, observation: Observation, max_rejected: int | None) -> None:
         """Keep a read's counts; more than ``max_rejected`` of any kind fail the job before it publishes anything."""
-        counts = self.metrics[name] = observation.get
+        counts = self.metrics[name] = readers.observed_counts(observation)
         over = {k: v for k, v in counts.items() if k != "rows" and max_rejected is not None and v > max_rejected}
         if over:
             raise ValueError(f"{name}: of {counts['rows']} rows too many were rejected: {over}")

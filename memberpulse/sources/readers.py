@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,6 +42,14 @@ def observed(df: DataFrame, observation: Observation | None, **rejected: Column)
     return df.observe(observation, F.count(F.lit(1)).alias("rows"), *counts)
 
 
+def observed_counts(observation: Observation) -> dict[str, int]:
+    """What an observation counted; no rows if Spark found the plan to be empty and dropped its counters."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return {"rows": 0}
+
+
 def read_memberships_csv(spark: SparkSession, root: str, as_of, identity_type: str = "string", multi_line: bool = True,
                          observation: Observation | None = None) -> DataFrame:
     """SRC1: the day's membership CSV (header row); a missing file or column fails the read.

@@ -322,6 +322,20 @@ def test_registry_rows_without_email_are_counted(spark, scratch):
     assert seen.get == {"rows": 3, "null_emails": 2}
 
 
+def test_empty_inputs_are_counted_as_such(spark, scratch):
+    """An empty registry and a CSV of a header alone: no rows, no failure."""
+    empty = fx.registry(spark, SF_SMALL).limit(0)
+    empty.write.parquet(f"{scratch}/registry")
+    written = jobs.JobResult()
+    for name, reg in (("read", spark.read.parquet(f"{scratch}/registry")), ("made", empty)):
+        out = jobs._next_snapshot(written, name, f"{scratch}/{name}", reg, 0, lambda rows: registry.set_status(rows, empty, "failed", fx.NOW))
+        assert written.metrics[name]["rows"] == 0 and out.count() == 0
+    land(scratch, HEADER)
+    seen = Observation("csv")
+    rd.read_memberships_csv(spark, scratch, DAY, observation=seen).write.parquet(f"{scratch}/rows")
+    assert rd.observed_counts(seen)["rows"] == 0 and spark.read.parquet(f"{scratch}/rows").count() == 0
+
+
 @pytest.fixture()
 def database(spark, scratch):
     name = f"memberpulse_registry_{uuid.uuid4().hex[:8]}"
