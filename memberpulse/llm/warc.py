@@ -29,8 +29,8 @@ from memberpulse.llm.common import Workspace, remove, slices
 REVISIT_BYTES = 1000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST = "path string, shard int, file int, records bigint, bytes bigint, sha256 string"
-#: Payloads with more copies than this are told by broadcast which record they revisit: one row per so many pages at most.
-HOT_COPIES = 1_000_000
+#: A payload that more than one in so many pages hold, and more than so many, is told by broadcast which record it revisits.
+SHARES, HOT_COPIES = 10_000, 1_000_000
 #: Stands for the target of a page without a URL, which the format requires.
 NO_URL = "urn:x-page:none"
 
@@ -121,15 +121,16 @@ def revisits(rows: DataFrame, ws: Workspace) -> DataFrame:
 
     Works on ids, URLs and digests only, which are staged once.  The largest id of a group
     (of its rows the one with the largest URL) is combined map-side.  Payloads with more
-    than ``HOT_COPIES`` copies, of which there are few however many pages there are, are
-    joined by broadcast; each copy stays in its task.
+    than their share of all pages, of which there are at most ``SHARES``, are joined by
+    broadcast; each copy stays in its task.
     """
     light = ws.stage("digests", rows.where("same IS NOT NULL").select("id", "url", "same"))
     groups = light.groupBy("same").agg(F.max(F.struct("id", F.coalesce("url", F.lit("")).alias("text"), "url")).alias("kept"),
                                        F.count("*").alias("n")).where("n > 1 AND kept.id IS NOT NULL")
     groups = ws.stage("groups", groups.select("same", "n", F.col("kept.id").alias("refers_to"), F.col("kept.url").alias("refers_url")))
     pages = light.select("id", "same").distinct()
-    hot, rest = groups.where(F.col("n") > HOT_COPIES).drop("n"), groups.where(F.col("n") <= HOT_COPIES).drop("n")
+    share = max(HOT_COPIES, light.count() // SHARES)
+    hot, rest = groups.where(F.col("n") > share).drop("n"), groups.where(F.col("n") <= share).drop("n")
     found = pages.join(F.broadcast(hot), "same").unionByName(
         pages.join(F.broadcast(hot.select("same")), "same", "left_anti").join(rest, "same"))
     return found.where(~F.col("id").eqNullSafe(F.col("refers_to"))).select("id", "same", "refers_to", "refers_url")
