@@ -10,6 +10,7 @@ behind it.  The order changes the work, never the verdict.
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -24,7 +25,9 @@ SYMBOLS = "[#*$%&|<>]"
 
 
 #: Times that the sample's rows are told by a rule while it is timed, and runs of which the fastest counts.
-REPEATS, RUNS = 8, 3
+REPEATS, RUNS = 4, 2
+#: Seconds that a rule over the measures alone is taken to cost on the sample.
+LEAST_COST = 1e-4
 
 
 @dataclass(frozen=True)
@@ -113,31 +116,31 @@ def measures(docs: DataFrame, text_col: str = "text", keep: str = "row") -> Data
 def rule_order(docs: DataFrame, rules: Sequence[Rule], text_col: str = "text", sample_rows: int = 2000) -> list[Rule]:
     """Rules by falling rejections per second on about ``sample_rows`` texts (chosen by text hash).
 
-    The measured sample is staged; each rule's job counts its rejections and is timed, less
-    the time of a job without a rule.  The sample sets the order only.  Ties and an empty
-    sample: by time, then as given.
+    The measured sample is staged.  One job counts the rejections of all rules; then each
+    rule that reads the text is timed in a job of its own, less the time of a job without a
+    rule.  Rules over the measures alone cost next to nothing.  The sample sets the order
+    only.  Ties and an empty sample: by time, then as given.
     """
     ws = Workspace(docs.sparkSession)
     n = docs.count()
     share = min(1.0, sample_rows / n) if n else 1.0
     chosen = docs.where(F.pmod(F.xxhash64(text_col), F.lit(1 << 30)) < int(share * (1 << 30)))
     sample = ws.stage("sample", measures(chosen, text_col, "row").drop("row"))
+    rejected = sample.agg(*[F.count_if(F.expr(r.rejects)).alias(str(i)) for i, r in enumerate(rules)]).first()
     rows = sample.withColumn("again", F.explode(F.sequence(F.lit(1), F.lit(REPEATS))))
 
-    def told(rejects: str) -> tuple[int, float]:
-        seconds = []
+    def seconds(rejects: str) -> float:
+        taken = []
         for _ in range(RUNS):
             begin = time.perf_counter()
-            found = rows.agg(F.count_if(F.expr(rejects)), F.max(F.octet_length("t"))).first()[0]
-            seconds.append(time.perf_counter() - begin)
-        return found, min(seconds)
-
-    idle = told("false")[1]
-    cost, gain = {}, {}
-    for rule in rules:
-        rejected, seconds = told(rule.rejects)
-        cost[rule.name] = max(1e-4, seconds - idle)
-        gain[rule.name] = rejected / cost[rule.name]
+            rows.agg(F.count_if(F.expr(rejects)), F.max(F.octet_length("t"))).first()
+            taken.append(time.perf_counter() - begin)
+        return min(taken)
+
+    reading = [r for r in rules if re.search(r"\bt\b", r.rejects)]
+    idle = seconds("false") if reading else 0.0
+    cost = {r.name: max(LEAST_COST, seconds(r.rejects) - idle) if r in reading else LEAST_COST for r in rules}
+    gain = {r.name: rejected[i] / cost[r.name] for i, r in enumerate(rules)}
     ws.drop("sample")
     return sorted(rules, key=lambda r: (-gain[r.name], cost[r.name]))
 
