@@ -172,6 +172,15 @@ def term_counts(files: DataFrame, text_col: str) -> DataFrame:
     return files.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
 
 
+def any_term(terms: set[str]) -> str:
+    """A pattern that finds one of the ``terms`` in lower-case text; terms of one first letter share a branch."""
+    by_letter: dict[str, list[str]] = {}
+    for t in sorted(terms):
+        by_letter.setdefault(t[0], []).append(t[1:])
+    branches = "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in by_letter.items())
+    return rf"(?<![a-z0-9])(?=[{''.join(by_letter) or '-'}])(?:{branches or '-'})(?![a-z0-9])"
+
+
 def windows(files: DataFrame, vectors: list[Template], threshold: float, df: dict[str, int]) -> DataFrame:
     """``(key, place, template, window, denied)``: runs of a text's terms that may reach ``threshold`` with a template.
 
@@ -182,7 +191,7 @@ def windows(files: DataFrame, vectors: list[Template], threshold: float, df: dic
     """
     spark, least = files.sparkSession, threshold * threshold * (1 - 1e-9)
     needed = [needed_terms(v, threshold, df) for v in vectors]
-    pattern = rf"(?i)(?<![a-z0-9])(?:{'|'.join(sorted({t for ts in needed for t in ts}))})(?![a-z0-9])"
+    pattern = any_term({t for ts in needed for t in ts})
     anchors, cuts = [], []
     for i, v in enumerate(vectors):
         extra = math.ceil(v.size() / 4)
@@ -195,7 +204,7 @@ def windows(files: DataFrame, vectors: list[Template], threshold: float, df: dic
     # both hold some rows a template
     anchors = F.broadcast(spark.createDataFrame(anchors, "term string, template int, before int, size int").distinct())
     weights = F.broadcast(spark.createDataFrame(cuts, "template int, weights array<struct<term: string, w: double>>"))
-    held = files.where(F.col("text").rlike(pattern)).select("key", F.array_remove(F.split(F.lower("text"), GAP), "").alias("terms"))
+    held = files.where(F.lower("text").rlike(pattern)).select("key", F.array_remove(F.split(F.lower("text"), GAP), "").alias("terms"))
     placed = held.select("key", "terms", F.posexplode("terms").alias("place", "term")).join(anchors, "term")
     start = F.greatest(F.lit(0), F.col("place") - F.col("before"))
     cut = placed.select("key", "place", "template", F.slice("terms", start + 1, F.col("size")).alias("window"),
