@@ -202,10 +202,12 @@ class Best:
 
 def search_block(postings: DataFrame, block: Block, item_ids: pa.Array, item_type: str, n_docs: int, total: int, k: int) -> DataFrame:
     """``(item_id, id, score)``: every task's ``k`` best documents of each item of the block."""
-    shared = postings.sparkSession.sparkContext.broadcast((block, item_ids))
+    # plain arrays: broadcast values are read without this library
+    shared = postings.sparkSession.sparkContext.broadcast((block.starts, block.terms, block.weights, item_ids))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, names = shared.value
+        *arrays, names = shared.value
+        items = Block(*arrays)
         best = Best(len(names), k)
         for batch in batches:
             for lo in range(0, batch.num_rows, DOC_TILE):

@@ -214,7 +214,8 @@ def score(docs: DataFrame, model: Model | None, positive=1, text_col: str = "tex
     """
     if model is None or positive not in model.classes:
         return docs.withColumn(score_col, F.lit(0.0))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # plain arrays: broadcast values are read without this library
+    shared = docs.sparkSession.sparkContext.broadcast((model.classes, model.buckets, model.weights, model.bias))
     return docs.withColumn(score_col, F.pandas_udf(_scorer(shared, model.classes.index(positive)), "double")(F.col(text_col)))
 
 
@@ -222,7 +223,7 @@ def _scorer(shared, at: int):
     import pandas as pd
 
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = shared.value
+        model = Model(*shared.value)
         weights = model.dense()
         for part in parts:
             batch = pa.RecordBatch.from_arrays([pa.array(part, pa.string(), from_pandas=True)], ["text"])
