@@ -10,17 +10,22 @@ from __future__ import annotations
 import datetime as _dt
 import hashlib
 import re
+import sys
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from memberpulse.session import child_names, path_exists, qualified, remove_path, replace_path
 
+# The function that copies files travels to executors by value, so a job needs no copy of the library there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Versions of a published report that stay readable.
 KEEP_VERSIONS = 2
 
