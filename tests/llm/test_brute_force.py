@@ -380,3 +380,19 @@ def test_common_windows_by_broadcast_change_nothing(spark, monkeypatch):
         monkeypatch.setattr(line_dedup, "LEAST_SHARE", least)
         out.append(sorted(map(str, line_dedup.dedup_lines(docs.repartition(4)).collect())))
     assert out[0] == out[1]
+
+
+@pytest.mark.parametrize("holders", [1, 20])
+def test_a_passage_is_found_whose_seeds_others_hold_first(spark, holders):
+    """Two late documents share a fuzzy passage; earlier ones hold each piece of it, none enough for a link."""
+    rng = random.Random(holders)
+    fresh = (f"w{rng.randrange(10 ** 9)}" for _ in iter(int, 1))
+    passage = [next(fresh) for _ in range(60)]
+    edited = [next(fresh) if i % 12 == 11 else w for i, w in enumerate(passage)]
+    filler = lambda n: [next(fresh) for _ in range(n)]
+    docs = [filler(30) + passage[at: at + 8] + filler(30) for at in range(0, 53, 4) for _ in range(holders)]
+    last = len(docs)
+    docs += [filler(20) + passage + filler(20), filler(40) + edited + filler(10)]
+    frame = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id bigint, text string")
+    got = [tuple(r)[:6] for r in substring_dedup.shared_passages(frame.repartition(3)).collect()]
+    assert got == [(last + 1, 40, 99, last, 20, 79)]
