@@ -396,3 +396,34 @@ def test_a_passage_is_found_whose_seeds_others_hold_first(spark, holders):
     frame = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id bigint, text string")
     got = [tuple(r)[:6] for r in substring_dedup.shared_passages(frame.repartition(3)).collect()]
     assert got == [(last + 1, 40, 99, last, 20, 79)]
+
+
+def test_a_frequent_line_makes_no_pairs_but_hides_none(spark, monkeypatch):
+    """Fuzzy passages around a line of many documents, by unlike edits on either side: found at any threshold, from few pairs."""
+    rng = random.Random(5)
+    fresh = (f"w{rng.randrange(10 ** 9)}" for _ in iter(int, 1))
+    filler = lambda n: [next(fresh) for _ in range(n)]
+    line = filler(24)
+    docs = [filler(rng.randrange(20, 40)) + line + filler(rng.randrange(20, 40)) for _ in range(90)]
+    for every, ahead, behind in ((4, 60, 0), (6, 0, 60), (9, 30, 30), (5, 25, 40)):
+        left, right = filler(ahead), filler(behind)
+        edited = [[next(fresh) if i % every == every - 1 and i + every < len(part) else w for i, w in enumerate(part)]
+                  for part in (left[::-1], right)]
+        docs.insert(rng.randrange(90), filler(9) + left + line + right + filler(7))
+        docs.append(filler(12) + edited[0][::-1] + line + edited[1] + filler(8))
+    frame = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id bigint, text string").repartition(3)
+    found, compared, stage = [], [], substring_dedup.Workspace.stage
+
+    def counted(self, name, df):
+        staged = stage(self, name, df)
+        if name == "pairs":
+            compared.append(staged.count())
+        return staged
+
+    monkeypatch.setattr(substring_dedup.Workspace, "stage", counted)
+    for few in (48, 10 ** 6):
+        monkeypatch.setattr(substring_dedup, "FEW_HOLDERS", few)
+        found.append(sorted(map(tuple, substring_dedup.shared_passages(frame).collect())))
+    assert found[0] == found[1]
+    assert {r[0] for r in found[0]} == {94, 95, 96, 97}
+    assert compared[0] < 20 < 3000 < compared[1]
