@@ -427,3 +427,81 @@ def test_a_frequent_line_makes_no_pairs_but_hides_none(spark, monkeypatch):
     assert found[0] == found[1]
     assert {r[0] for r in found[0]} == {94, 95, 96, 97}
     assert compared[0] < 20 < 3000 < compared[1]
+
+
+def around_a_line(spark, rng: random.Random, others: int):
+    """Documents with a frequent line, and after them copies of four passages around it, edited on either side."""
+    fresh = (f"w{rng.randrange(10 ** 9)}" for _ in iter(int, 1))
+    filler = lambda n: [next(fresh) for _ in range(n)]
+    line = filler(24)
+    docs = [filler(rng.randrange(90, 120)) + line + filler(rng.randrange(90, 120)) for _ in range(others)]
+    for every, ahead, behind in ((4, 60, 0), (6, 0, 60), (9, 30, 30), (5, 25, 40)):
+        left, right = filler(ahead), filler(behind)
+        edited = [[next(fresh) if i % every == every - 1 and i + every < len(part) else w for i, w in enumerate(part)]
+                  for part in (left[::-1], right)]
+        docs.insert(rng.randrange(others), filler(9) + left + line + right + filler(7))
+        docs.append(filler(12) + edited[0][::-1] + line + edited[1] + filler(8))
+    return spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id bigint, text string").repartition(3)
+
+
+def test_places_of_a_frequent_line_leave_few_rows(spark, monkeypatch):
+    """Words near a frequent line are compared where its places meet: no table has a row for each of them."""
+    frame, rows, stage = around_a_line(spark, random.Random(6), 90), {}, substring_dedup.Workspace.stage
+
+    def counted(self, name, df):
+        rows[name] = (staged := stage(self, name, df)).count()
+        return staged
+
+    monkeypatch.setattr(substring_dedup.Workspace, "stage", counted)
+    got = {(r["doc_id"], r["other_doc_id"]) for r in substring_dedup.shared_passages(frame).collect()}
+    assert {doc for doc, _ in got} == {94, 95, 96, 97}
+    assert rows["hot"] >= 98
+    assert all(n < 10 * rows["hot"] for n in rows.values()), rows
+
+
+def test_frequent_lines_in_parts_and_rounds(spark, monkeypatch):
+    """The same passages if a seed's places are dealt out, and if the seeds come one round after the other."""
+    frame, found, rounds, stage = around_a_line(spark, random.Random(7), 60), [], [], substring_dedup.Workspace.stage
+
+    def counted(self, name, df):
+        rounds[-1] += name.startswith("met/")
+        return stage(self, name, df)
+
+    monkeypatch.setattr(substring_dedup.Workspace, "stage", counted)
+    for name, value in (("BLOCK", 1024), ("PLACES", 7), ("SHARE", 0.3)):
+        monkeypatch.setattr(substring_dedup, name, value)
+        rounds.append(0)
+        found.append(sorted(map(tuple, substring_dedup.shared_passages(frame).collect())))
+    assert found[0] == found[1] == found[2] and {r[0] for r in found[0]} == {64, 65, 66, 67}
+    assert rounds[0] == rounds[1] < rounds[2]
+
+
+def test_dense_keeps_all_that_reach_the_identity():
+    """Two places in passages of 50 words or more at identity 0.8 are dense, edited by any kind; unlike words around a line are not."""
+    rng, side = random.Random(8), substring_dedup.REACH + 3
+
+    def near(words: list[int], at: int) -> list[int]:
+        before, after = words[:at][::-1][:side], words[at + 5:][:side]
+        return before + [0] * (side - len(before)) + after + [0] * (side - len(after))
+
+    x, y, unlike = [], [], []
+    fresh = lambda n: [rng.randrange(1, 10 ** 9) for _ in range(n)]
+    while len(x) < 400:
+        n = rng.randrange(50, 75)
+        passage, at = fresh(n), rng.randrange(n - 4)
+        copy, to, columns, same = [], None, 0, 0
+        for i, w in enumerate(passage):
+            if i == at:
+                to = len(copy)
+            kind = rng.choice("sid") if not at <= i < at + 5 and rng.random() < 0.18 else ""
+            copy += {"": [w], "s": fresh(1), "i": fresh(1) + [w], "d": []}[kind]
+            columns, same = columns + 1 + (kind == "i"), same + (kind in ("", "i"))
+        if same >= 0.8 * columns and len(copy) >= 50:
+            x.append(near(fresh(30) + passage + fresh(30), 30 + at))
+            y.append(near(fresh(40) + copy + fresh(10), 40 + to))
+        line = fresh(30)
+        unlike.append([near(fresh(90) + line + fresh(90), 90 + 12) for _ in range(2)])
+    x, y = np.array(x, np.uint32), np.array(y, np.uint32)
+    assert substring_dedup._dense(x, y, 5, 50, 0.8).all()
+    a, b = np.array(unlike, np.uint32).transpose(1, 0, 2)
+    assert not substring_dedup._dense(a, b, 5, 50, 0.8).any()
